@@ -2,49 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
-import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
 
-_OWN: list[str] = []
+from ..plans.scratch import materialise, scratch, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not _OWN:
-        _OWN.append(tempfile.mkdtemp(prefix="metroloom-"))
-        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
-    return f"file://{_OWN[0]}"
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, visible to the driver and to every executor."""
-    return f"{shared_dir(spark)}/metroloom/{uuid.uuid4().hex}/{name}"
-
-
-def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here."""
-    path = scratch(df.sparkSession, name)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def with_checkpoint_dir(spark: SparkSession) -> None:
-    """Library operators call ``checkpoint()``; give them a folder where none is set."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+__all__ = ["groups_by_bytes", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -74,7 +39,3 @@ def groups_by_bytes(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, in
         held += n
     if start < len(texts):
         yield start, len(texts)
-
-
-def map_arrow(df: DataFrame, f: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, sharding
+from . import bpe, exact_dedup, near_dup, packing, sharding, toxicity
 from ._shared import tokenizer_path
 
 
@@ -15,10 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=24)
     return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -32,4 +40,4 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.roundtrip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op6_exact_dedup, op8_sharding, op9_packing, op10_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_near_dup, op6_exact_dedup, op7_toxicity, op8_sharding, op9_packing, op10_bpe)}

@@ -1,6 +1,51 @@
 """DuckDB SQL with the same results as the queries, where SQL can express them."""
 
+#: Of the formatted length of a text: each of these strings and each backslash adds one sign.
+_CONTROLS = ["<|turn|>", "<|end|>", "<|image:", "<|audio:", "<|document:", "<|endoftext|>", "<|im_start|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "\\"]
+
+
+def _escaped(column: str) -> str:
+    added = [f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in _CONTROLS]
+    return f"(length({column}) + {' + '.join(added)})"
+
+
 ORACLES: dict[str, str] = {
+    "op1_chat_format": f"""
+        WITH rows AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(8 + length(role) + 1 + {_escaped("text")} + 7 + 1)::BIGINT AS formatted_chars
+        FROM rows GROUP BY conv_id
+    """,
+    "op3_url_lists": r"""
+        WITH captures AS (
+          SELECT page_id, nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '') AS host,
+                 DATE '2024-01-01' + ((page_id * 37) % 366)::INT AS fetched FROM pages),
+        hosts AS (SELECT DISTINCT host, string_split(host, '.') AS l FROM captures WHERE host IS NOT NULL),
+        patterns AS (SELECT host AS pattern FROM hosts UNION SELECT array_to_string(l[greatest(len(l) - 1, 1):], '.') FROM hosts),
+        numbered AS (SELECT pattern, ('0x' || substr(md5(pattern), 1, 6))::BIGINT AS n FROM patterns),
+        entries AS (
+          SELECT pattern, DATE '2024-01-01' + (n % 90)::INT AS date, 'block' AS action FROM numbered
+          UNION ALL SELECT pattern, DATE '2024-01-01' + (n % 90 + 40 + n % 7)::INT, 'allow' FROM numbered
+          UNION ALL SELECT pattern, DATE '2024-01-01' + (n % 90 + 120 + n % 11)::INT, 'review' FROM numbered),
+        held AS (SELECT *, lead(date) OVER (PARTITION BY pattern ORDER BY date) AS until FROM entries),
+        met AS (
+          SELECT c.page_id, h.pattern, h.date, h.action, row_number() OVER (PARTITION BY c.page_id ORDER BY length(h.pattern) DESC) AS k
+          FROM captures c JOIN held h ON (c.host = h.pattern OR ends_with(c.host, '.' || h.pattern)) AND h.date <= c.fetched AND (h.until IS NULL OR c.fetched < h.until))
+        SELECT c.page_id, c.host, c.fetched::VARCHAR AS fetched, m.pattern, m.date::VARCHAR AS listed_since, coalesce(m.action, 'allow') AS verdict
+        FROM captures c LEFT JOIN met m ON m.page_id = c.page_id AND m.k = 1
+    """,
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n FROM pages),
+        w AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS top FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+        FROM w
+    """,
     "op5_near_dup": r"""
         WITH RECURSIVE words AS (
           SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),

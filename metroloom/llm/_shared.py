@@ -6,10 +6,11 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from ..plans.scratch import materialise, scratch, shared_dir
 
-__all__ = ["groups_by_bytes", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
+__all__ = ["blocks", "groups_by_bytes", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -39,3 +40,16 @@ def groups_by_bytes(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, in
         held += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def blocks(column: pa.Array, rows: int = 512, limit: int = 1 << 20) -> Iterator[pa.Array]:
+    """Slices of a string column of at most ``rows`` rows and about ``limit`` bytes; a longer text is alone."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and (held + n > limit or i - start >= rows):
+            yield column.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(column):
+        yield column.slice(start)

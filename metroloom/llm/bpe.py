@@ -18,7 +18,6 @@ import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -73,7 +72,7 @@ def classes() -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=1)
-def weights(n: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+def weights(n: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse."""
     out = []
     for b in (BASE, pow(BASE, -1, 1 << 64)):
@@ -356,6 +355,8 @@ class BpeCodec:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         starts = cut_words(points, ends)
         stops = np.append(starts[1:], len(points))
+        import pandas as pd  # here, for workers of other operators do without it
+
         codes, found = pd.factorize(hash_spans(points, starts, stops))
         if len(self.index) + len(found) > CACHE_WORDS:
             self._forget()

@@ -44,11 +44,6 @@ TREES, DEPTH, MIN_DEPTH = 12, 10, 2
 SMALL, REGION, PIVOTS = 16, 4096, 4
 
 
-def blocks(column: pa.Array, rows: int = 512) -> Iterator[pa.Array]:
-    for i in range(0, len(column), rows):
-        yield column.slice(i, rows)
-
-
 def set_key(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
@@ -60,7 +55,7 @@ def sketch(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
         order = stream(4, TREES)
         for batch in batches:
             done = 0
-            for part in blocks(sh.strings(batch.column(1))):
+            for part in sh.blocks(sh.strings(batch.column(1))):
                 sets = shingle_sets(*word_hashes(part), words)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 minima = signatures([sets[i] for i in full], TREES * DEPTH)
@@ -221,7 +216,7 @@ def confirm(pairs: DataFrame, reps: DataFrame, df: DataFrame, key: str, text: st
     def sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for part in blocks(sh.strings(batch.column(2)), 256):
+            for part in sh.blocks(sh.strings(batch.column(2))):
                 sets = shingle_sets(*word_hashes(part), words)
                 cls = batch.column(1).slice(done, len(part)).to_pylist()
                 hit = [i for i, s in enumerate(sets) if set_key(s) == cls[i]]  # a repeated identifier can have other texts

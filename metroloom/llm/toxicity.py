@@ -26,12 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _shared as sh
-from .near_dup import blocks
 from .words import SIGNS, word_parts
 
 BITS = 20
 PREFIXES = (3, 4, 5, 6)
-MAX_POSITIVE, MAX_UNLABELLED = 3000, 9000
+MAX_POSITIVE, MAX_UNLABELLED = 2500, 7000
 MEMBERS, EPOCHS, BATCH, RATE, RIDGE, SLACK = 3, 40, 512, 0.05, 1e-4, 0.1
 
 
@@ -52,27 +51,41 @@ def distinct(found: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Sparse:
-    """Rows of a 0/1 matrix."""
+    """Rows of a 0/1 matrix, as ranges of one flat array of columns; a choice of rows shares it."""
 
-    def __init__(self, rows: list[np.ndarray]) -> None:
-        self.sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        self.ends = np.cumsum(self.sizes)
-        self.flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    def __init__(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat, self.starts, self.sizes = flat, starts, sizes
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def rows(self, which: np.ndarray) -> Sparse:
+        return Sparse(self.flat, self.starts[which], self.sizes[which])
 
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Columns of the chosen rows, and the row (in the choice) of each."""
         sizes = self.sizes[which]
         before = np.cumsum(sizes) - sizes
-        at = np.arange(sizes.sum()) - np.repeat(before - (self.ends - self.sizes)[which], sizes)
+        at = np.arange(sizes.sum()) + np.repeat(self.starts[which] - before, sizes)
         return self.flat[at], np.repeat(np.arange(len(which)), sizes)
 
+    def counts(self, columns: int) -> np.ndarray:
+        out = np.zeros(columns, np.int64)
+        for i in range(0, len(self), 1000):
+            out += np.bincount(self.take(np.arange(i, min(len(self), i + 1000)))[0], minlength=columns)
+        return out
 
     def only(self, table: np.ndarray) -> Sparse:
         """The same rows with the columns that ``table`` numbers (others: -1)."""
-        to = table[self.flat]
-        sizes = np.bincount(np.repeat(np.arange(len(self.sizes)), self.sizes)[to >= 0], minlength=len(self.sizes))
-        out = Sparse([])
-        out.sizes, out.ends, out.flat = sizes, np.cumsum(sizes), to[to >= 0]
-        return out
+        parts, sizes = [], []
+        for i in range(0, len(self), 1000):
+            which = np.arange(i, min(len(self), i + 1000))
+            flat, row = self.take(which)
+            to = table[flat]
+            parts.append(to[to >= 0])
+            sizes.append(np.bincount(row[to >= 0], minlength=len(which)))
+        sizes = np.concatenate(sizes)
+        return Sparse(np.concatenate(parts), np.cumsum(sizes) - sizes, sizes)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -83,8 +96,8 @@ def fit(positive: Sparse, unlabelled: Sparse, prior: float, seed: int) -> tuple[
     """Weights and bias of one classifier: logistic loss, Adam on mini-batches, a small ridge."""
     rng = np.random.default_rng(seed)
     size = 1 << BITS
-    n_p, n_u = len(positive.sizes), len(unlabelled.sizes)
-    in_p, in_u = np.bincount(positive.flat, minlength=size), np.bincount(unlabelled.flat, minlength=size)
+    n_p, n_u = len(positive), len(unlabelled)
+    in_p, in_u = positive.counts(size), unlabelled.counts(size)
     # slope of the risk at zero weights, over the prior: unlabelled texts push, positives pull
     share = np.maximum(in_u, 1) / n_u
     usable = (np.abs(in_p / n_p - in_u / n_u) > 6 * np.sqrt(share * (1 - share) / n_p)) & (in_p >= max(5, 0.01 * n_p))
@@ -121,7 +134,7 @@ def fit(positive: Sparse, unlabelled: Sparse, prior: float, seed: int) -> tuple[
     return out, b
 
 
-def sample(df: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[list[np.ndarray], list[np.ndarray], float]:
+def sample(df: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[Sparse, Sparse, float]:
     """Features of the bounded training sample and the class prior, all from outside the held-out fold."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key))).groupBy(key).agg(F.max("toxic").alias("toxic"))
     shares = known.agg(F.avg("toxic"), F.sum("toxic")).first()
@@ -136,7 +149,7 @@ def sample(df: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[list[
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for part in blocks(sh.strings(batch.column(1))):
+            for part in sh.blocks(sh.strings(batch.column(1))):
                 found, counts = numbers(part)
                 flat, rows = distinct(found.ravel(), np.tile(np.repeat(np.arange(len(part)), counts), len(found)))
                 sizes = np.bincount(rows, minlength=len(part))
@@ -148,21 +161,22 @@ def sample(df: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[list[
     rows = df.select(key, text).join(F.broadcast(chosen), key).select("kind", text, F.xxhash64(F.col(key).cast("string")).alias("at"))
     table = rows.mapInArrow(run, "kind int, features array<int>, at long").toArrow()
     order = np.argsort(table["at"].to_numpy(), kind="stable")
-    kinds, lists = table["kind"].to_numpy()[order], table["features"].take(pa.array(order)).to_pylist()
-    lists = [np.array(x, np.int64) for x in lists]
-    return [x for x, k in zip(lists, kinds, strict=True) if k == 1], [x for x, k in zip(lists, kinds, strict=True) if k == 0], prior
+    kinds, lists = table["kind"].to_numpy()[order], table["features"].combine_chunks()
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    every = Sparse(lists.values.to_numpy(), ends[:-1], np.diff(ends)).rows(order)
+    return every.rows(np.flatnonzero(kinds == 1)), every.rows(np.flatnonzero(kinds == 0)), prior
 
 
 def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
     """The averaged classifier: features with a weight, their weights, bias."""
     positive, unlabelled, prior = sample(df, labels, key, text)
-    if not positive or not unlabelled:
+    if not len(positive) or not len(unlabelled):
         return np.zeros(0, np.int64), np.zeros(0), float(np.log(prior / (1 - prior)))
     w, b = np.zeros(1 << BITS), 0.0
     for i in range(MEMBERS):
         rng = np.random.default_rng(100 + i)
         own = rng.permutation(len(unlabelled))[: max(1, len(unlabelled) * 2 // 3)]
-        wi, bi = fit(Sparse(positive), Sparse([unlabelled[j] for j in own]), prior, i)
+        wi, bi = fit(positive, unlabelled.rows(own), prior, i)
         w, b = w + wi / MEMBERS, b + bi / MEMBERS
     at = np.flatnonzero(w)
     return at, w[at], b
@@ -177,7 +191,7 @@ def scores(part: pa.Array, table: np.ndarray, bias: float) -> np.ndarray:
 
 
 def weight_table(model: tuple[np.ndarray, np.ndarray, float]) -> np.ndarray:
-    table = np.zeros(1 << BITS)
+    table = np.zeros(1 << BITS, np.float32)
     table[model[0]] = model[1]
     return table
 
@@ -189,7 +203,7 @@ def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], key: str =
         table = weight_table(model)
         for batch in batches:
             done = 0
-            for part in blocks(sh.strings(batch.column(1))):
+            for part in sh.blocks(sh.strings(batch.column(1))):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(part)), pa.array(scores(part, table, model[2]))], [key, "score"])
                 done += len(part)
 
@@ -211,7 +225,7 @@ def drop_toxic(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = weight_table(model)
         for batch in batches:
-            keep = [scores(part, table, model[2]) < 0.5 for part in blocks(sh.strings(batch.column(place)))]
+            keep = [scores(part, table, model[2]) < 0.5 for part in sh.blocks(sh.strings(batch.column(place)))]
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 

@@ -7,10 +7,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..plans.scratch import materialise, scratch, shared_dir
 
-__all__ = ["blocks", "groups_by_bytes", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
+__all__ = ["blocks", "groups_by_bytes", "keep_rows", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -53,3 +55,11 @@ def blocks(column: pa.Array, rows: int = 512, limit: int = 1 << 20) -> Iterator[
         held += n
     if start < len(column):
         yield column.slice(start)
+
+
+def keep_rows(df: DataFrame, stays: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key is a key of ``stays``, all columns as they are."""
+    name = "__key"
+    while name in {c.lower() for c in df.columns}:
+        name += "_"
+    return df.join(stays.select(F.col(key).alias(name)).distinct(), F.col(key).eqNullSafe(F.col(name)), "left_semi")

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from . import _shared as sh
 
@@ -403,7 +404,7 @@ def codec(path: str) -> BpeCodec:
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds ``out``, the ids of ``text`` as an array, to every row; an existing ``out`` is replaced."""
     df = df.drop(out) if out in df.columns else df
-    schema = df.schema.add(out, "array<int>")
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     places = df.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,7 +422,8 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds ``out``, the text of the ids in ``ids`` (special tokens kept); null ids give an empty text."""
     df = df.drop(out) if out in df.columns else df
-    schema = df.schema.add(out, "string")
+    df = df.drop(out) if out in df.columns else df
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     places = df.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -51,5 +51,4 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", kee
 
 def drop_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", keep: str = "largest") -> DataFrame:
     """The rows of ``df`` that stay, all columns as they are."""
-    stays = exact_duplicates(df, key, text, keep).filter("kept").select(F.col(key).alias("__key")).distinct()
-    return df.join(stays, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+    return sh.keep_rows(df, exact_duplicates(df, key, text, keep).filter("kept"), key)

@@ -266,7 +266,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
         tail = F.unhex(F.lpad(F.hex("component"), 16, "0"))
         again = members.join(mixed, "region", "left_semi").select("region", "node", "n_shingles", F.concat("sig", tail).alias("levels"), "component").repartition("region").sortWithinPartitions("region", "levels")
         more = again.mapInArrow(lambda it: leftovers(it, threshold), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-        late = sh.materialise(confirm(sh.materialise(more, "more"), reps, df, key, text, words, percent), "late")
+        more = sh.materialise(more, "more")
+        late = more if more.isEmpty() else sh.materialise(confirm(more, reps, df, key, text, words, percent), "late")
         if not late.isEmpty():
             # components of the first pass are contracted; late links join their roots
             joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
@@ -281,5 +282,4 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
 
 def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component stays (that with the smallest key), all columns as they are."""
-    stays = near_duplicates(df, key, text, words, percent).filter("kept").select(F.col(key).alias("__key")).distinct()
-    return df.join(stays, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+    return sh.keep_rows(df, near_duplicates(df, key, text, words, percent).filter("kept"), key)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from metroloom.operators import cluster, components, radius
 
-from test_chains import hav
+from tests.test_chains import hav
 
 SCHEMA = "ord bigint, line_id string, operator string, stop_index int, display string, short string, norm string, lat double, lon double, aliases array<string>"
 

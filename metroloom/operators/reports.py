@@ -1,4 +1,4 @@
-"""Profiling and build reports."""
+"""Profiling and build reports."""
 
 from __future__ import annotations
 
@@ -81,3 +81,35 @@ def build_totals(lines: DataFrame, stations: DataFrame, edges: DataFrame, walks:
     for p in parts[1:]:
         out = out.crossJoin(F.broadcast(p))  # single rows
     return out
+
+
+def dump_stops(relations: DataFrame, nodes: DataFrame, ref: str) -> DataFrame:
+    """Stop names in order of every relation with this ref (P15). relations: id, tags, members."""
+    own = relations.filter(F.col("tags")["ref"] == ref).select(F.col("id").alias("rel_id"), F.posexplode("members").alias("pos", "m")).select("rel_id", "pos", "m.ref", "m.role")
+    return stop_names(own, nodes).orderBy("rel_id", "pos")
+
+
+def unrouted_stations(nodes: DataFrame) -> DataFrame:
+    """Station-like nodes by name, for datasets without routes."""
+    kind = F.coalesce(F.col("tags")["railway"], F.col("tags")["public_transport"])
+    return nodes.filter(kind.isin("station", "halt", "stop_position")).select("id", F.coalesce(F.col("tags")["name"], F.lit("—")).alias("name"), kind.alias("kind")).orderBy("name", "id")
+
+
+def unmeasured(segments: DataFrame) -> DataFrame:
+    """Segments that were not measured along the track."""
+    return segments.filter("quality <> 'measured'").orderBy("line_id", "segment")
+
+
+def inspection(relations: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Routes in natural order with how many of their stops are unresolved or oddly named."""
+    members = relations.select(F.col("id").alias("rel_id"), F.posexplode("members").alias("pos", "m")).select("rel_id", "pos", "m.ref", "m.role")
+    odd = stop_names(members, nodes).groupBy(F.col("rel_id").alias("id")).agg(F.count_if(name_anomaly(F.col("name")) == "unresolved").alias("unresolved"), F.count_if(name_anomaly(F.col("name")).isNotNull()).alias("anomalies"))
+    return route_summary(relations).join(odd, "id", "left").na.fill(0, ["unresolved", "anomalies"]).orderBy(*natural_order("ref", "name"))
+
+
+def clustering(stations: DataFrame, candidates: DataFrame) -> DataFrame:
+    """One row: stations, merged ones, wide ones, candidates of equal and of different names."""
+    s = stations.agg(F.count("*").alias("stations"), F.count_if(F.size("line_ids") > 1).alias("merged"), F.count_if(F.col("spread_m") > 200).alias("wide"))
+    same = F.col("a_display") == F.col("b_display")
+    c = candidates.agg(F.count_if(same).alias("same_name"), F.count_if(~same).alias("different_name"), F.count_if("connects_disjoint_lines").alias("useful"))
+    return s.crossJoin(F.broadcast(c))  # single rows

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import colour, geo, names
+from ..functions import colour, geo, names, text
 from ..functions.numbers import half_up
 from ..operators import chains, checks, cluster, components, fares, layout, network, palette, places, radius, reports
 from ..sources import elements
@@ -613,6 +613,34 @@ def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price")).orderBy(F.desc("price"), "id").limit(25)
 
 
+@query("SELECT event_id AS id, strftime(ts, '%Y.%m.%d') AS version, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_id % 3 = 0 THEN CAST('inf' AS DOUBLE) ELSE event_id + 0.5::DOUBLE END AS metric FROM events")
+def release_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F20, F21."""
+    iso = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    tool = F.when(F.col("event_id") % 3 == 0, F.lit("none")).otherwise(F.concat(F.lit("worst: "), F.col("event_id").cast("string"), F.lit(".5 of pairs")))
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), text.version(F.col("ts")).alias("version"), text.day_of(iso, F.date_format("ts", "yyyy-MM-dd")).alias("day"), text.number_after(tool, "worst").alias("metric"))
+
+
+@query(f"""
+    WITH RECURSIVE {CUSTOMERS}, {CUSTOMER_PAIRS}, {REACH}, m AS (SELECT k.root, any_value(c.nation) AS nation, avg(c.lat) AS lat, avg(c.lon) AS lon, list_sort(list(DISTINCT c.segment)) AS lines, arg_max(substr(c.name, 1, 6 + (c.id % 4)::INT), (6 + (c.id % 4), -c.id)) AS display FROM cus c JOIN comp k ON k.id = c.id GROUP BY k.root),
+    far AS (SELECT x.root, max({hav("p", "q")}) AS d FROM comp x JOIN cus p ON p.id = x.id JOIN comp y ON y.root = x.root AND y.id > x.id JOIN cus q ON q.id = y.id GROUP BY x.root),
+    near AS (SELECT x.display = y.display AS same, NOT list_has_any(x.lines, y.lines) AS apart FROM m x JOIN m y ON x.root < y.root WHERE {hav("x", "y")} <= 800)
+    SELECT (SELECT count(*) FROM m) AS stations, (SELECT count(*) FROM m WHERE len(lines) > 1) AS merged, (SELECT count(*) FROM far WHERE d > 200) AS wide, count(*) FILTER (same) AS same_name, count(*) FILTER (NOT same) AS different_name, count(*) FILTER (apart) AS useful FROM near
+""")
+def clustering_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3, A20, J9, P16."""
+    members, _ = cluster.cluster_stops(cluster_input(spark, sf_dir))
+    s = cluster.materialise_stations(members)
+    return reports.clustering(s, cluster.propose_interchanges(s))
+
+
+@query("SELECT n_nationkey::BIGINT AS id, n_name AS name, CASE WHEN s_suppkey IS NULL THEN 1 ELSE 0 END::BIGINT AS unresolved, CASE WHEN s_suppkey IS NULL THEN 1 ELSE 0 END::BIGINT AS anomalies FROM nation LEFT JOIN supplier ON s_suppkey = n_nationkey * 3 + 1")
+def dataset_inspection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1, O1."""
+    e = element_rows(spark, sf_dir)
+    return reports.inspection(e.filter("type = 'relation'"), e.filter("type = 'node'")).select("id", "name", "unresolved", "anomalies")
+
+
 # -- layout and colours ---------------------------------------------------------------------
 _MEDIAN_SQL = "list_sort(list({0}))[(count(*) // 2 + 1)::INT]"
 

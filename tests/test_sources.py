@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from metroloom.functions.names import Overrides
 from metroloom.operators import checks, reports
 from metroloom.plans import build
-from metroloom.sources import elements, fetch, sinks
+from metroloom.sources import curated, elements, fetch, sinks
 from metroloom.streaming import places as stream
 
 DOC = {
@@ -108,3 +108,46 @@ def test_stream_takes_a_place_once(spark, tmp_path):
         assert spark.table("fresh").count() == 6
     finally:
         q.stop()
+
+
+def test_curated_tables(spark, tmp_path):
+    def write(name, doc):
+        p = tmp_path / name
+        p.write_text(json.dumps(doc, indent=1))
+        return str(p)
+
+    lines = curated.lines(spark, write("l.json", {"$c": "x", "lines": [{"id": "A", "dataset": "d", "relationId": 5, "assertStops": 3, "publishedRouteLengthKm": 2.5, "stationTag": {"key": "k", "value": "v"}}]})).first()
+    assert (lines["id"], lines["relation_id"], lines["published_km"], lines["station_tag"]["key"], lines["station_order"]) == ("A", 5, 2.5, "k", None)
+    s = curated.slabs(spark, write("s.json", {"tables": [{"operator": "m", "class": "x", "confidence": "verified", "slabs": [{"maxKm": 3, "farePaise": 1000}, {"maxKm": None, "farePaise": 2000}]}]})).collect()
+    assert [(r["max_km"], r["fare_paise"]) for r in s] == [(3.0, 1000), (None, 2000)]
+    o = curated.pair_fares(spark, write("o.json", {"tables": [{"operator": "m", "pairs": [{"a": "P", "b": "Q", "farePaise": 7}]}]})).first()
+    assert (o["a_name"], o["b_operator"], o["fare_paise"]) == ("P", "m", 7)
+    k = curated.links(spark, write("i.json", {"links": [{"a": {"name": "P", "operator": "m"}, "b": {"name": "Q", "operator": "n"}, "distanceM": 74, "reason": "r"}], "rejected": [{}]})).collect()
+    assert [(r["a_name"], r["b_operator"], r["distance_m"]) for r in k] == [("P", "n", 74)]
+    ops = curated.operators(spark, write("p.json", {"operators": [{"id": "m", "status": "suspended", "statusNote": "x"}]})).first()
+    assert (ops["id"], ops["status_note"]) == ("m", "x")
+    modes, classes = curated.speeds(spark, write("v.json", {"modes": {"$c": 1, "metro": {"runningSpeedKmph": 45, "dwellSeconds": 25}}, "serviceClassOverrides": {"fast": {"runningSpeedKmph": 55, "dwellSeconds": 30}}}))
+    assert tuple(modes.first()) == ("metro", 45.0, 25) and tuple(classes.first()) == ("fast", 55.0, 30)
+    names, guards, forced = curated.name_rules(write("n.json", {"normStopWords": {"words": ["jn"]}, "stripSuffixes": {}, "doNotMerge": {"names": [{"norm": "a", "maxClusterSpreadM": 300}]}, "forceMerge": {"groups": [{"norm": "b", "operator": "m", "maxSpreadM": 400}]}}))
+    assert names.stop_words == ["jn"] and guards == [("a", 300.0)] and forced == [("b", "m", 400.0)]
+
+
+def test_line_without_a_relation(spark):
+    nodes = [(i, 19 + i * 0.01, 72.0) for i in range(1, 7)]
+    coords = spark.createDataFrame(nodes, "node_id bigint, lat double, lon double")
+    named = coords.join(spark.createDataFrame([(1, "A", 0), (3, "B", 1), (5, "C", 2), (6, None, 3)], "node_id bigint, name string, ord int"), "node_id")
+    ways = spark.createDataFrame([(100, [1, 2, 3], 0), (101, [5, 6], 1)], "way_id bigint, nodes array<bigint>, ord int")
+    order = spark.createDataFrame([(0, "A"), (1, "B"), (2, "C"), (3, "D")], "idx int, name string")
+    got = build.extract_ordered("L", order, named, ways, coords, 6000.0)
+    seg = got.segments.orderBy("segment").collect()
+    assert [r["quality"] for r in seg] == ["measured", "estimated-gap"] and abs(sum(r["dist_m"] for r in seg) - 6000) < 1e-6
+    assert {(r["rule"], r["level"]) for r in got.checks.collect()} == {("station-order", "fatal"), ("calibration", "warn"), ("stop-named", "fatal")}
+
+
+def test_reports(spark, document):
+    nodes, _, relations = elements.split(elements.read_elements(spark, document))
+    assert [r["name"] for r in reports.dump_stops(relations, nodes, "1").collect()] == ["Later 1", "Stop 3", "Stop 2", "Stop 5"]
+    assert reports.unrouted_stations(nodes).count() == 0
+    assert reports.inspection(relations, nodes).first()["stops"] == 4
+    seg = spark.createDataFrame([("L", 0, "measured"), ("L", 1, "estimated-gap")], "line_id string, segment int, quality string")
+    assert reports.unmeasured(seg).count() == 1

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans.scratch import materialise, scratch, shared_dir
 
-__all__ = ["blocks", "groups_by_bytes", "keep_rows", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
+__all__ = ["blocks", "keep_rows", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,19 +31,6 @@ def strings(column: pa.Array) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
-def groups_by_bytes(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``limit`` characters; a longer text is alone."""
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t)
-        if i > start and held + n > limit:
-            yield start, i
-            start, held = i, 0
-        held += n
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def blocks(column: pa.Array, rows: int = 512, limit: int = 1 << 20) -> Iterator[pa.Array]:
     """Slices of a string column of at most ``rows`` rows and about ``limit`` bytes; a longer text is alone."""
     sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
 import json
 from collections.abc import Iterable, Iterator
 
@@ -39,9 +40,11 @@ LATER = [
     (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
 ]
 #: Distinct words kept by a worker; the table starts anew beyond it, which costs time only.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Odd multiplier of the words' polynomial hash, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
+#: Bytes beyond which a word is merged by itself.
+LONG = 400
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 NONE = np.iinfo(np.int64).max
 
@@ -55,6 +58,46 @@ def byte_characters() -> dict[str, int]:
     return table
 
 
+class Table:
+    """A map from distinct 64-bit keys (never 0) to non-negative numbers, looked up in bulk."""
+
+    def __init__(self, bits: int) -> None:
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys * np.uint64(BASE)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where there is none."""
+        at = self.slots(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.values[at], -1)
+        live = np.flatnonzero((there != keys) & (there != 0))
+        while len(live):  # on to the next slot
+            at[live] = step = (at[live] + 1) & self.mask
+            there = self.keys[step]
+            hit = there == keys[live]
+            out[live[hit]] = self.values[step[hit]]
+            live = live[~hit & (there != 0)]
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Adds distinct keys that are not there."""
+        at = self.slots(keys)
+        live = np.arange(len(keys))
+        while len(live):
+            free = live[self.keys[at[live]] == 0]
+            slots, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[slots], self.values[slots] = keys[won], values[won]
+            rest = np.ones(len(keys), bool)
+            rest[won] = False
+            live = live[rest[live]]
+            at[live] = (at[live] + 1) & self.mask
+
+
 @functools.lru_cache(maxsize=1)
 def classes() -> np.ndarray:
     """Of every code point: white space, letter, number or other."""
@@ -90,16 +133,29 @@ def weights(n: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
 
 def hash_spans(points: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """64-bit hashes of consecutive spans that cover ``points``; equal spans have equal hashes."""
+    up, down = weights()
+    out = []
     with np.errstate(over="ignore"):
-        up, down = weights()
-        if len(points) > len(up):  # a very long text: span by span, position by position inside
-            inside = np.arange(len(points)) - np.repeat(starts, stops - starts)
-            up = up if inside.max() < len(up) else np.array([pow(BASE, int(i), 1 << 64) for i in range(int(inside.max()) + 1)], np.uint64)
-            total = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * up[inside], starts)
-        else:
-            total = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], starts) * down[starts]
+        i = 0
+        while i < len(starts):
+            lo = starts[i]
+            j = max(i + 1, int(np.searchsorted(stops, lo + len(up), side="right")))
+            own = points[lo : stops[j - 1]].astype(np.uint64) + np.uint64(1)
+            if len(own) > len(up):  # one very long word
+                powers = np.concatenate([up * np.uint64(pow(BASE, k * len(up), 1 << 64)) for k in range(-(-len(own) // len(up)))])
+                out.append(np.array([(own * powers[: len(own)]).sum()], np.uint64))
+            else:
+                out.append(np.add.reduceat(own * up[: len(own)], starts[i:j] - lo) * down[starts[i:j] - lo])
+            i = j
+        total = np.concatenate(out)
         total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + (stops - starts).astype(np.uint64)
-        return total ^ (total >> np.uint64(32))
+        return np.maximum(total ^ (total >> np.uint64(32)), np.uint64(1))
+
+
+def gather(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of ``data`` one after another, and where each ends."""
+    ends = np.cumsum(stops - starts)
+    return data[np.repeat(starts - ends + (stops - starts), stops - starts) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 def cut_words(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -168,9 +224,9 @@ class BpeCodec:
         self.right = np.full(self.size, -1, np.int64)
         self.born = np.full(self.size, -1, np.int64)  # rank of the merge that makes a token; -1: a byte
         self.left[made[::-1]], self.right[made[::-1]], self.born[made[::-1]] = a[::-1], b[::-1], np.arange(len(made))[::-1]
-        keys = a * self.size + b
-        order = np.argsort(keys, kind="stable")
-        self.pair_keys, self.pair_ranks = keys[order], order.astype(np.int64)
+        self.pairs = Table(18)
+        self.pairs.put((a * self.size + b + 1).astype(np.uint64), np.arange(len(a)))
+        self.merged = a, b
         self.made = made
         self.byte_id = np.zeros(256, np.int64)
         for i, token in enumerate(self.token_bytes):
@@ -198,39 +254,34 @@ class BpeCodec:
                     accept.append(-1)
                 node = nxt
             accept[node] = i
-        keys = np.fromiter(children.keys(), np.int64, len(children))
-        to = np.fromiter(children.values(), np.int32, len(children))
-        inner = np.unique(keys >> 8)
-        self.row = np.full(len(accept), len(inner), np.int32)  # the last row of the table has no child
-        self.row[inner] = np.arange(len(inner), dtype=np.int32)
-        self.child = np.full((len(inner) + 1, 256), -1, np.int32)
-        self.child[self.row[keys >> 8], keys & 255] = to
+        self.child = Table(19)
+        self.child.put(np.fromiter(children.keys(), np.uint64, len(children)) + np.uint64(1), np.fromiter(children.values(), np.int64, len(children)))
         self.accept = np.array(accept, np.int32)
 
-    def _forget(self) -> None:
-        self.index: dict[int, int] = {}
+    def _forget(self, room: int = 0) -> None:
+        self.index, self.known = Table(max(20, (2 * room).bit_length())), 0
         self.starts = np.zeros(1 << 16, np.int64)
-        self.counts = np.zeros(1 << 16, np.int64)
+        self.counts = np.zeros(1 << 16, np.int32)
         self.flat = np.zeros(1 << 18, np.int32)
         self.filled = 0
 
-    def _remember(self, hashes: list[int], counts: np.ndarray, ids: np.ndarray) -> None:
-        at = len(self.index)
-        self.index.update(zip(hashes, range(at, at + len(hashes)), strict=True))
-        while len(self.starts) < at + len(hashes):
+    def _remember(self, hashes: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        at = self.known
+        self.known += len(hashes)
+        self.index.put(hashes, np.arange(at, self.known))
+        while len(self.starts) < self.known:
             self.starts, self.counts = np.concatenate([self.starts, np.zeros_like(self.starts)]), np.concatenate([self.counts, np.zeros_like(self.counts)])
         while len(self.flat) < self.filled + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.counts[at : at + len(hashes)] = counts
-        self.starts[at : at + len(hashes)] = self.filled + np.cumsum(counts) - counts
+        self.counts[at : self.known] = counts
+        self.starts[at : self.known] = self.filled + np.cumsum(counts) - counts
         self.flat[self.filled : self.filled + len(ids)] = ids
         self.filled += len(ids)
 
     # -- speculation, verification, exact merging -------------------------------------------
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        keys = a * self.size + b
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE)
+        rank = self.pairs.get((a.astype(np.int64) * self.size + b + 1).astype(np.uint64)).astype(np.int64)
+        return np.where(rank < 0, NONE, rank)
 
     def compatible(self, a: np.ndarray, b: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
         """Whether no merge across the border of tokens a, b comes before those inside them.
@@ -255,17 +306,19 @@ class BpeCodec:
             x, y = np.where(undo_left, self.right[x], x), np.where(undo_left, y, self.left[y])
         return ok
 
-    def speculate(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Greedy longest match over all words at once: token ids in word order, counts per word."""
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        buf = np.frombuffer(b"".join(words) + b"\0", np.uint8)
+    def speculate(self, buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest match over all words at once: token ids in word order, counts per word.
+
+        ``buf``: the bytes of the words, one after another; ``ends``: where each word ends."""
+        n = len(ends)
+        buf = np.append(buf, np.uint8(0))
         pos = np.concatenate([[0], ends[:-1]])
         word = np.flatnonzero(pos < ends)
         pos, end = pos[word], ends[word]
         node, token, after = np.zeros(len(word), np.int32), np.full(len(word), -1, np.int32), pos.copy()
         out_word, out_token = [], []
         while len(word):
-            nxt = np.where(pos < end, self.child[self.row[node], buf[pos]], -1)
+            nxt = np.where(pos < end, self.child.get((node.astype(np.int64) * 256 + buf[pos] + 1).astype(np.uint64)), -1)
             on = nxt >= 0
             node = np.where(on, nxt, 0)
             pos = pos + on
@@ -281,17 +334,16 @@ class BpeCodec:
                 if not live.all():
                     word, pos, end, node, token, after = word[live], pos[live], end[live], node[live], token[live], after[live]
         if not out_word:
-            return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
+            return np.zeros(0, np.int32), np.zeros(n, np.int64)
         which = np.concatenate(out_word)
         order = np.argsort(which, kind="stable")
-        return np.concatenate(out_token)[order], np.bincount(which, minlength=len(words))
+        return np.concatenate(out_token)[order], np.bincount(which, minlength=n)
 
-    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def merge_all(self, buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact merging, all words in step: in every round each word makes its merge of the
         lowest rank, leftmost among equals. Returns ids in word order and their words."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        token = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
-        word = np.repeat(np.arange(len(words)), lengths)
+        token = self.byte_id[buf]
+        word = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
         rank = np.full(len(token), NONE)
         inside = np.flatnonzero(word[1:] == word[:-1])
         rank[inside] = self.pair_rank(token[inside], token[inside + 1])
@@ -308,24 +360,62 @@ class BpeCodec:
             token[at] = self.made[rank[at]]
             keep = ~over
             keep[at + 1] = False
-            merged = np.zeros(len(token), bool)
-            merged[at] = True
+            touched = np.zeros(len(token), bool)
+            touched[at] = True
             rank[at] = rank[at + 1]  # NONE at the end of a word
-            token, word, rank, merged = token[keep], word[keep], rank[keep], merged[keep]
-            at = np.flatnonzero(merged)
-            again = np.unique(np.concatenate([at, at[at > 0] - 1]))
-            again = again[again + 1 < len(token)]
+            token, word, rank, touched = token[keep], word[keep], rank[keep], touched[keep]
+            touched[:-1] |= touched[1:]  # the pair before a merge is a new one too
+            again = np.flatnonzero(touched[:-1])
             again = again[word[again] == word[again + 1]]
             rank[again] = self.pair_rank(token[again], token[again + 1])
         which = np.concatenate(out_word) if out_word else np.zeros(0, np.int64)
         order = np.argsort(which, kind="stable")
         return (np.concatenate(out_token)[order] if out_token else token), which[order]
 
-    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
-        """Ids in word order, counts per word, and how many words had to be merged exactly."""
-        ids, counts = self.speculate(words)
-        which = np.repeat(np.arange(len(words)), counts)
-        failed = np.zeros(len(words), bool)
+    def merge_long(self, word: bytes) -> list[int]:
+        """Exact merging of one long word: a heap of pairs, lowest rank first, leftmost among equals."""
+        ids = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
+        rank_of, made, size, n = self._ranks(), self.made.tolist(), self.size, len(ids)
+        after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank_of.get(ids[i] * size + ids[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i, x, y = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] != x or j >= n or ids[j] != y:
+                continue
+            ids[i], ids[j] = made[r], -1
+            k = after[i] = after[j]
+            if k < n:
+                ahead[k] = i
+                if (q := rank_of.get(ids[i] * size + ids[k])) is not None:
+                    heapq.heappush(heap, (q, i, ids[i], ids[k]))
+            if (h := ahead[i]) >= 0 and (q := rank_of.get(ids[h] * size + ids[i])) is not None:
+                heapq.heappush(heap, (q, h, ids[h], ids[i]))
+        return [t for t in ids if t >= 0]
+
+    @functools.cache  # noqa: B019  codecs live as long as their process
+    def _ranks(self) -> dict[int, int]:
+        a, b = self.merged
+        return dict(zip((a * self.size + b).tolist(), range(len(a)), strict=True))
+
+    def encode_words(self, buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ids in word order, counts per word, and how many words had to be merged exactly.
+
+        All words go in step, so a word far longer than others would hold them up: it goes alone."""
+        n = len(ends)
+        begins = ends - np.diff(ends, prepend=0)
+        long = np.flatnonzero(ends - begins > LONG)
+        if len(long):
+            short = np.flatnonzero(ends - begins <= LONG)
+            ids, counts, failed = self.encode_words(*gather(buf, begins[short], ends[short]))
+            own = [np.array(self.merge_long(buf[begins[i] : ends[i]].tobytes()), np.int32) for i in long.tolist()]
+            which = np.concatenate([np.repeat(short, counts), np.repeat(long, [len(x) for x in own])])
+            order = np.argsort(which, kind="stable")
+            return np.concatenate([ids, *own])[order], np.bincount(which, minlength=n), failed + len(long)
+        ids, counts = self.speculate(buf, ends)
+        which = np.repeat(np.arange(n), counts)
+        failed = np.zeros(n, bool)
         failed[which[~self.reachable[ids]]] = True
         inside = np.flatnonzero(which[1:] == which[:-1])
         if len(inside):
@@ -334,12 +424,12 @@ class BpeCodec:
             failed[which[inside[~fine[back]]]] = True
         if failed.any():
             bad = np.flatnonzero(failed)
-            exact, whose = self.merge_all([words[i] for i in bad.tolist()])
+            exact, whose = self.merge_all(*gather(buf, begins[bad], ends[bad]))
             fine = ~failed[which]
             which = np.concatenate([which[fine], bad[whose]])
             order = np.argsort(which, kind="stable")
             ids = np.concatenate([ids[fine], exact.astype(np.int32)])[order]
-            counts = np.bincount(which, minlength=len(words))
+            counts = np.bincount(which, minlength=n)
         return ids, counts, int(failed.sum())
 
     # -- texts ------------------------------------------------------------------------------
@@ -356,20 +446,25 @@ class BpeCodec:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         starts = cut_words(points, ends)
         stops = np.append(starts[1:], len(points))
-        import pandas as pd  # here, for workers of other operators do without it
-
-        codes, found = pd.factorize(hash_spans(points, starts, stops))
-        if len(self.index) + len(found) > CACHE_WORDS:
-            self._forget()
-        keys = found.tolist()
-        if new := [k for k, h in enumerate(keys) if h not in self.index]:
-            first = np.zeros(len(found), np.int64)
-            first[codes[::-1]] = np.arange(len(codes))[::-1]
-            at = first[new]
-            words = [points[i:j].tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass") for i, j in zip(starts[at].tolist(), stops[at].tolist(), strict=True)]
-            ids, counts, _ = self.encode_words(words)
-            self._remember([keys[k] for k in new], counts, ids)
-        at = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))[codes]
+        hashes = hash_spans(points, starts, stops)
+        at = self.index.get(hashes)
+        miss = np.flatnonzero(at < 0)
+        if len(miss):
+            new, first = np.unique(hashes[miss], return_index=True)
+            if self.known + len(new) > CACHE_WORDS:  # all of the block's words are new then
+                miss = np.arange(len(hashes))
+                new, first = np.unique(hashes, return_index=True)
+                self._forget(len(new))
+            of = miss[first]
+            data = np.frombuffer("".join(texts).encode("utf-8", "surrogatepass"), np.uint8)
+            if len(data) == len(points):  # ASCII
+                byte = np.arange(len(points) + 1)
+            else:
+                width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+                byte = np.concatenate([[0], np.cumsum(width)])
+            ids, counts, _ = self.encode_words(*gather(data, byte[starts[of]], byte[stops[of]]))
+            self._remember(new, counts, ids)
+            at[miss] = self.index.get(hashes[miss])
         counts = self.counts[at]
         before = np.concatenate([[0], np.cumsum(counts)])
         ids = self.flat[np.repeat(self.starts[at] - before[:-1], counts) + np.arange(before[-1])]
@@ -410,11 +505,12 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for b in batches:
-            texts = sh.strings(b.column(places.index(text))).to_pylist()
-            for lo, hi in sh.groups_by_bytes(texts):
-                ids, offsets = c.encode_batch(texts[lo:hi])
+            done = 0
+            for part in sh.blocks(sh.strings(b.column(places.index(text)))):
+                ids, offsets = c.encode_batch(part.to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, lists], [*places, out])
+                yield pa.RecordBatch.from_arrays([*b.slice(done, len(part)).columns, lists], [*places, out])
+                done += len(part)
 
     return df.mapInArrow(run, schema)
 
@@ -444,10 +540,9 @@ def roundtrip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         c = codec(path)
         shown = [str(i) for i in range(c.size)]
         for b in batches:
-            texts = sh.strings(b.column(1)).to_pylist()
             n, ids_hex, text_hex = [], [], []
-            for lo, hi in sh.groups_by_bytes(texts):
-                ids, offsets = c.encode_batch(texts[lo:hi])
+            for part in sh.blocks(sh.strings(b.column(1))):
+                ids, offsets = c.encode_batch(part.to_pylist())
                 for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                     own = ids[i:j].tolist()
                     n.append(j - i)

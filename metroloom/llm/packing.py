@@ -114,9 +114,9 @@ def token_pieces(df: DataFrame, path: str, end_id: int, window: int, key: str, t
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
-            texts = sh.strings(batch.column(1)).to_pylist()
-            for lo, hi in sh.groups_by_bytes(texts):
-                ids, offsets = c.encode_batch(texts[lo:hi])
+            done = 0
+            for part in sh.blocks(sh.strings(batch.column(1))):
+                ids, offsets = c.encode_batch(part.to_pylist())
                 ids = ids.astype("<u4")
                 totals, full, rest, crc, body = [], [], [], [], []
                 for i, j in itertools.pairwise(offsets.tolist()):
@@ -128,7 +128,8 @@ def token_pieces(df: DataFrame, path: str, end_id: int, window: int, key: str, t
                     rest.append(len(own) - q * window)
                     crc.append(zlib.crc32(tail))
                     body.append(tail)
-                keys = batch.column(0).slice(lo, hi - lo)
+                keys = batch.column(0).slice(done, len(part))
+                done += len(part)
                 yield pa.RecordBatch.from_arrays(
                     [keys, pa.array(totals, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.int32()), pa.array(crc, pa.int64()), pa.array(body, pa.binary())],
                     [key, "doc_tokens", "full", "rest", "rest_crc32", "rest_ids"],

@@ -36,13 +36,14 @@ def test_ids_equal_the_librarys(codec, library):
     same(codec, library, ["".join(rng.choice(bits) for _ in range(rng.randint(0, 50))) for _ in range(4000)])
     same(codec, library, ["a" * n for n in range(80)] + ["ab" * n for n in range(60)] + ["".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 60))) for _ in range(3000)])
     same(codec, library, ["".join(map(chr, rng.choices([*range(1, 0xD7FF), *range(0xE000, 0x10FFFF)], k=15))) for _ in range(1500)])
-    same(codec, library, ["", "x " * 700_000, "word" * 20_000])
+    same(codec, library, ["", "x " * 700_000, "word" * 20_000, "z" * 1_500_000, "y " + "x" * 3_000_000 + "z z"])
 
 
 def test_every_merge_order_is_the_exact_one(codec):
     words = [t for t in codec.token_bytes[:2000] if t] + [b"hellohello", b"aaaaaaa", b"\xff\xfe"]
-    ids, counts, failed = codec.encode_words(words)
-    exact, which = codec.merge_all(words)
+    flat = np.frombuffer(b"".join(words), np.uint8), np.cumsum(list(map(len, words)))
+    ids, counts, failed = codec.encode_words(*flat)
+    exact, which = codec.merge_all(*flat)
     assert ids.tolist() == exact.tolist() and counts.tolist() == np.bincount(which, minlength=len(words)).tolist() and failed < len(words)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m
 from ..functions.numbers import half_up
+from ..plans.prefix import ranked
 from .components import components
 from .radius import pairs_within
 
@@ -50,9 +51,7 @@ def cluster_stops(stops: DataFrame, groups: DataFrame | None = None) -> tuple[Da
         count = lambda df, n: df.join(F.broadcast(groups.select("norm", "operator")), ["norm", "operator"]).groupBy("norm", "operator").agg(F.count_distinct("root").alias(n))  # noqa: E731  curated rows
         applied = groups.join(count(before, "was"), ["norm", "operator"], "left").join(count(after, "now"), ["norm", "operator"], "left").withColumn("unioned", F.coalesce(F.col("was") - F.col("now"), F.lit(0))).drop("was", "now")
     roots = after.select("root").distinct()
-    # ids are ranks of the roots; the numbering is global, over one row a station
-    ranks = roots.withColumn("station_id", (F.row_number().over(Window.orderBy("root")) - 1).cast("bigint"))
-    return after.join(ranks, "root").drop("root"), applied
+    return after.join(ranked(roots, ["root"], "station_id"), "root").drop("root"), applied
 
 
 def spread(members: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def meeting_graph(station_lines: DataFrame, families: DataFrame, links: DataFram
     station_lines: station_id, line_id; families: family, line_ids; links: a_id, b_id. Families are
     made distinct at each station first, so a station with very many lines sends few rows on."""
     of_line = families.select("family", F.explode("line_ids").alias("line_id")).distinct()
-    at = station_lines.join(F.broadcast(of_line), "line_id").select("station_id", "family").distinct()  # curated rows
+    at = station_lines.join(of_line, "line_id").select("station_id", "family").distinct()
     x, y = at.select("station_id", F.col("family").alias("a")), at.select("station_id", F.col("family").alias("b"))
     shared = x.join(y, "station_id").filter("a <> b").select("a", "b")
     over = links.join(x.withColumnRenamed("station_id", "a_id"), "a_id").join(y.withColumnRenamed("station_id", "b_id"), "b_id").filter("a <> b").select("a", "b")

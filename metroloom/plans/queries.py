@@ -15,6 +15,7 @@ from ..functions.numbers import half_up
 from ..operators import chains, checks, cluster, components, fares, layout, network, palette, places, radius, reports
 from ..sources import elements
 from . import journeys
+from .prefix import ranked
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -335,8 +336,7 @@ def components_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = customers(spark, sf_dir)
     found = components.components(radius.pairs_within(c, cluster.MERGE_RADIUS_M, "id", equal=("nation",)))
     roots = c.select("id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("id", F.coalesce("component", "id").alias("root"))
-    ids = roots.select("root").distinct().withColumn("station_id", (F.row_number().over(Window.orderBy("root")) - 1).cast("bigint"))
-    return roots.join(ids, "root").select("id", "root", "station_id")
+    return roots.join(ranked(roots.select("root").distinct(), ["root"], "station_id"), "root").select("id", "root", "station_id")
 
 
 def cluster_input(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: list[str] = []
 
@@ -33,3 +34,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, *keys: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with all rows of a key in one partition, sorted there by the keys, then ``order``.
+
+    For steps that stream sorted partitions. The exchange is on a hash of the keys, not on the keys: an
+    exchange that repeats a join's own partitioning is dropped by the planner, and the join's may
+    then be split or read locally at run time, which parts the rows of a key."""
+    return df.repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)

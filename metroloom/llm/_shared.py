@@ -10,9 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.scratch import materialise, scratch, shared_dir
+from ..plans.scratch import dealt, materialise, scratch, shared_dir
 
-__all__ = ["blocks", "keep_rows", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
+__all__ = ["blocks", "dealt", "keep_rows", "materialise", "scratch", "shared_dir", "strings", "tokenizer_path"]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:

@@ -192,5 +192,5 @@ def digest_conversations(messages: DataFrame, conv: str = "conv_id", turn: str =
             yield pack([row()])
 
     kind = messages.schema[conv].dataType.simpleString()
-    ordered = messages.repartition(conv).sortWithinPartitions(conv, turn, role, "formatted").select(conv, "formatted", "loss")
+    ordered = sh.dealt(messages, conv, order=(turn, role, "formatted")).select(conv, "formatted", "loss")
     return ordered.mapInArrow(run, f"`{conv}` {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")

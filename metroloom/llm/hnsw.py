@@ -191,8 +191,6 @@ def nearest(df: DataFrame, queries: Column, top: int = 5, key: str = "vec_id", v
     sizes = {n: -(-c // shard_rows) for n, c in nodes.groupBy(F.size("v")).count().collect()}  # a row a vector length
     shards = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]) if sizes else F.create_map(F.lit(0), F.lit(1))
     shard = F.struct(F.size("v").alias("dim"), F.pmod(F.xxhash64("v"), shards[F.size("v")]).alias("no"))
-    total = max(1, sum(sizes.values()))
-    dealt = nodes.withColumn("shard", shard).repartition(total, "shard").sortWithinPartitions("shard")
 
     def build(key_: tuple, table: pa.Table) -> pa.Table:
         v = matrix(table["v"].combine_chunks())
@@ -211,14 +209,14 @@ def nearest(df: DataFrame, queries: Column, top: int = 5, key: str = "vec_id", v
         )
 
     schema = "dim int, no long, body binary, ids array<array<long>>, levels array<long>, links array<binary>, entry long"
-    index = sh.materialise(dealt.select("shard.dim", "shard.no", "v", F.col("ids").cast("array<long>").alias("ids")).groupBy("dim", "no").applyInArrow(build, schema), "index")
+    index = sh.materialise(nodes.withColumn("shard", shard).select("shard.dim", "shard.no", "v", F.col("ids").cast("array<long>").alias("ids")).groupBy("dim", "no").applyInArrow(build, schema), "index")
 
     asked = clean.filter("asks").select("id", "v").distinct()
     count = F.coalesce(shards[F.size("v")], F.lit(0))
     sent = asked.filter(count > 0).select(F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), (count - 1).cast("long"))).alias("no"), "id", "v")
     nothing = {"body": "binary", "ids": "array<array<long>>", "levels": "array<long>", "links": "array<binary>", "entry": "long"}
     both = index.select("*", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("v")).unionByName(sent.select("dim", "no", *[F.lit(None).cast(t).alias(n) for n, t in nothing.items()], "id", "v"))
-    stream = both.repartition(total, "dim", "no").sortWithinPartitions("dim", "no", F.col("id").isNotNull())
+    stream = sh.dealt(both.withColumn("asks", F.col("id").isNotNull()), "dim", "no", order=("asks",))
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph, vectors, members = None, None, None

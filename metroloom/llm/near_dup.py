@@ -42,6 +42,8 @@ from .words import mix, shingle_sets, signatures, stream, word_hashes
 
 TREES, DEPTH, MIN_DEPTH = 12, 10, 2
 SMALL, REGION, PIVOTS = 16, 4096, 4
+#: Minima of the whole signature: the orders use the first of them, the second pass all.
+FULL = 720
 
 
 def set_key(s: np.ndarray) -> bytes:
@@ -58,12 +60,12 @@ def sketch(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
             for part in sh.blocks(sh.strings(batch.column(1))):
                 sets = shingle_sets(*word_hashes(part), words)
                 full = [i for i, s in enumerate(sets) if len(s)]
-                minima = signatures([sets[i] for i in full], TREES * DEPTH)
+                minima = signatures([sets[i] for i in full], FULL)
                 levels = (minima * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
                 with np.errstate(over="ignore"):
                     regions = np.tile(order, (len(full), 1))
                     for d in range(MIN_DEPTH):
-                        regions = mix(regions + minima[:, d::DEPTH])
+                        regions = mix(regions + minima[:, d : TREES * DEPTH : DEPTH])
                 sig: list = [None] * len(sets)
                 reg: list = [None] * len(sets)
                 for i, row, r in zip(full, levels, regions.view(np.int64).tolist(), strict=True):
@@ -207,10 +209,12 @@ def leftovers(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[p
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
 
-def confirm(pairs: DataFrame, reps: DataFrame, df: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    need = reps.select("node", "cls", F.col("key").alias("__key")).join(nodes, "node")
+def fetch_sets(nodes: DataFrame, reps: DataFrame, df: DataFrame, key: str, text: str, words: int, join: str | None = None) -> DataFrame:
+    """(node, body): the full shingle sets of nodes, from their texts.
+
+    The list of nodes is written first, so the planner knows its size; ``join`` names a strategy."""
+    need = sh.materialise(reps.select("node", "cls", F.col("key").alias("__key")).join(nodes, "node"), "need")
+    need = need.hint(join) if join else need
     found = df.select(key, text).join(need, F.col(key).eqNullSafe(F.col("__key"))).select("node", "cls", text)
 
     def sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +228,15 @@ def confirm(pairs: DataFrame, reps: DataFrame, df: DataFrame, key: str, text: st
                 yield pa.RecordBatch.from_arrays([nodes, pa.array([sets[i].tobytes() for i in hit], pa.binary())], ["node", "body"])
                 done += len(part)
 
-    sets = sh.materialise(found.mapInArrow(sets_of, "node long, body binary").dropDuplicates(["node"]), "sets")
+    return sh.materialise(found.mapInArrow(sets_of, "node long, body binary").dropDuplicates(["node"]), "sets")
+
+
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets have 100 * intersection >= percent * union."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("body").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("body").alias("y")), "b")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,11 +263,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     reps = sh.materialise(solid.groupBy("cls").agg(F.min("uid").alias("node"), F.min(key).alias("least"), first).select("cls", "node", "least", "r.*"), "classes")
 
     tree = F.posexplode("regions").alias("t", "region")
-    placed = reps.select("node", "n_shingles", "sig", tree).select("region", "node", "n_shingles", F.concat(F.expr(f"substring(sig, t * {DEPTH} + 1)"), F.expr(f"substring(sig, 1, t * {DEPTH})")).alias("levels"))
-    ordered = placed.repartition("region").sortWithinPartitions("region", "levels")
+    placed = reps.select("node", "n_shingles", "sig", tree).select("region", "node", "n_shingles", F.expr(f"concat(substring(sig, t * {DEPTH} + 1, {TREES * DEPTH} - t * {DEPTH}), substring(sig, 1, t * {DEPTH}))").alias("levels"))
+    ordered = sh.dealt(placed, "region", order=("levels",))
     found = sh.materialise(ordered.mapInArrow(lambda it: candidates(it, threshold), "region long, a long, b long"), "candidates")
     pairs = sh.materialise(found.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")
-    links = sh.materialise(confirm(pairs, reps, df, key, text, words, percent), "links")
+    sets = fetch_sets(nodes_of(pairs), reps, df, key, text, words, "merge")
+    links = sh.materialise(confirm(pairs, sets, percent), "links")
     joined = components(links)
 
     large = found.filter("b IS NULL").select("region", F.col("a").alias("node")).distinct()
@@ -264,10 +277,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
         members = large.join(reps.select("node", "n_shingles", "sig"), "node").join(joined, "node", "left").withColumn("component", label)
         mixed = members.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("region")
         tail = F.unhex(F.lpad(F.hex("component"), 16, "0"))
-        again = members.join(mixed, "region", "left_semi").select("region", "node", "n_shingles", F.concat("sig", tail).alias("levels"), "component").repartition("region").sortWithinPartitions("region", "levels")
+        again = members.join(mixed, "region", "left_semi").select("region", "node", "n_shingles", F.concat("sig", tail).alias("levels"), "component")
+        again = sh.dealt(again, "region", order=("levels",))
         more = again.mapInArrow(lambda it: leftovers(it, threshold), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
         more = sh.materialise(more, "more")
-        late = more if more.isEmpty() else sh.materialise(confirm(more, reps, df, key, text, words, percent), "late")
+        lacking = sh.materialise(nodes_of(more).join(sets, "node", "left_anti"), "lacking")
+        if not lacking.isEmpty():  # texts are shuffled again only for nodes that no first pair had
+            sets = sets.union(fetch_sets(lacking, reps, df, key, text, words))
+        late = sh.materialise(confirm(more, sets, percent), "late")
         if not late.isEmpty():
             # components of the first pass are contracted; late links join their roots
             joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))

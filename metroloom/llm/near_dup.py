@@ -155,17 +155,17 @@ def as_region(rows: np.ndarray) -> Region:
 
 
 def candidates(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a < b); rows of large regions as (region, node) with b null."""
-    out_region, out_a, out_b = [], [], []
+    """Candidate pairs (a < b); rows of large regions as (region, node) with b null, and whether the region was cut."""
+    out_region, out_a, out_b, out_cut = [], [], [], []
     total = 0
 
     def flush() -> pa.RecordBatch:
         nonlocal total
         total = 0
-        arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_region, out_a, out_b)]
-        for x in (out_region, out_a, out_b):
+        arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_region, out_a, out_b, out_cut)]
+        for x in (out_region, out_a, out_b, out_cut):
             x.clear()
-        return pa.RecordBatch.from_arrays([pa.array(arrays[0]), pa.array(arrays[1]), pa.array(arrays[2], mask=arrays[2] == -1)], ["region", "a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(arrays[0]), pa.array(arrays[1]), pa.array(arrays[2], mask=arrays[2] == -1), pa.array(arrays[3].astype(bool))], ["region", "a", "b", "cut"])
 
     for name, rows, cut in runs_of(batches, REGION):
         m = len(rows)
@@ -180,11 +180,13 @@ def candidates(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[
                 out_a.append(np.minimum(x, y))
                 out_b.append(np.maximum(x, y))
                 out_region.append(np.zeros(len(near), np.int64))
+                out_cut.append(np.zeros(len(near), np.int64))
                 total += len(near)
         if not small:
             out_region.append(np.full(m, name))
             out_a.append(region.node)
             out_b.append(np.full(m, -1))
+            out_cut.append(np.full(m, int(cut)))
             total += m
         if total > 20_000:
             yield flush()
@@ -192,17 +194,24 @@ def candidates(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[
 
 
 def leftovers(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Second pass over large regions: rows outside the main component against all rows of other components."""
-    for _, rows, _ in runs_of((b.select(["region", "node", "n_shingles", "levels", "component"]) for b in batches), REGION):
+    """Second pass over large regions: rows outside the main component against all rows of other components.
+
+    A pair that shares several regions is met in each; it is given in the first of them alone, cut
+    regions aside. Behind the levels travel the component and the row's region in each order (0: cut)."""
+    tail = 8 * (1 + TREES)
+    for name, rows, _ in runs_of((b.select(["region", "node", "n_shingles", "levels"]) for b in batches), REGION):
         region, every = as_region(rows), np.arange(len(rows))
-        # the component travels behind the levels, as eight more bytes
-        region.levels, tail = region.levels[:, :-8], region.levels[:, -8:]
-        component = np.ascontiguousarray(tail).view(">i8").ravel()
+        region.levels, behind = region.levels[:, :-tail], np.ascontiguousarray(region.levels[:, -tail:]).view(">i8")
+        component, own = behind[:, 0], behind[:, 1:].astype(np.int64)
         names, counts = np.unique(component, return_counts=True)
         main = names[counts.argmax()]
         a, b = [], []
         for i in np.flatnonzero(component != main).tolist():
             near = region.like(i, every[component != component[i]], threshold)
+            shared = (own[near] == own[i]) & (own[i] != 0)
+            first = own[i][shared.argmax(1)]
+            near = near[~shared.any(1) | (first == name) | ~(own[i] == name).any()]
+            near = near[(component[near] == main) | (near > i)]  # others meet it from their side
             a.append(np.minimum(region.node[i], region.node[near]))
             b.append(np.maximum(region.node[i], region.node[near]))
         if a:
@@ -265,7 +274,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     tree = F.posexplode("regions").alias("t", "region")
     placed = reps.select("node", "n_shingles", "sig", tree).select("region", "node", "n_shingles", F.expr(f"concat(substring(sig, t * {DEPTH} + 1, {TREES * DEPTH} - t * {DEPTH}), substring(sig, 1, t * {DEPTH}))").alias("levels"))
     ordered = sh.dealt(placed, "region", order=("levels",))
-    found = sh.materialise(ordered.mapInArrow(lambda it: candidates(it, threshold), "region long, a long, b long"), "candidates")
+    found = sh.materialise(ordered.mapInArrow(lambda it: candidates(it, threshold), "region long, a long, b long, cut boolean"), "candidates")
     pairs = sh.materialise(found.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")
     sets = fetch_sets(nodes_of(pairs), reps, df, key, text, words, "merge")
     links = sh.materialise(confirm(pairs, sets, percent), "links")
@@ -274,10 +283,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     large = found.filter("b IS NULL").select("region", F.col("a").alias("node")).distinct()
     if not large.isEmpty():
         label = F.coalesce("component", "node")
-        members = large.join(reps.select("node", "n_shingles", "sig"), "node").join(joined, "node", "left").withColumn("component", label)
+        cuts = found.filter("b IS NULL AND cut").groupBy(F.col("a").alias("node")).agg(F.collect_set("region").alias("cuts"))
+        members = large.join(reps.select("node", "n_shingles", "sig", "regions"), "node").join(joined, "node", "left").join(cuts, "node", "left").withColumn("component", label)
         mixed = members.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("region")
-        tail = F.unhex(F.lpad(F.hex("component"), 16, "0"))
-        again = members.join(mixed, "region", "left_semi").select("region", "node", "n_shingles", F.concat("sig", tail).alias("levels"), "component")
+        whole = F.transform("regions", lambda r: F.when(F.coalesce(F.array_contains("cuts", r), F.lit(False)), F.lit(0).cast("long")).otherwise(r))
+        eight = lambda x: F.lpad(F.hex(x), 16, "0")
+        tail = F.unhex(F.concat(eight(F.col("component")), F.array_join(F.transform(whole, eight), "")))
+        again = members.join(mixed, "region", "left_semi").select("region", "node", "n_shingles", F.concat("sig", tail).alias("levels"))
         again = sh.dealt(again, "region", order=("levels",))
         more = again.mapInArrow(lambda it: leftovers(it, threshold), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
         more = sh.materialise(more, "more")

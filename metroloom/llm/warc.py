@@ -12,7 +12,7 @@ part's directory, by bisection, reads one block's range and takes the key's line
 sorted by volume and offset, and neighbouring ranges are read together.
 
 Edge cases: null html is an empty payload; a null url has an empty key; signs that would end a header
-line are percent-encoded in urls; rows that tie on the largest identifier of a payload all keep it; rows
+line are percent-encoded in urls and keys, so urls that differ in that alone share a key; rows that tie on the largest identifier of a payload all keep it; rows
 repeated in full are records of their own; an empty table makes an empty archive.
 """
 
@@ -41,7 +41,9 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Len
 
 
 def surt(url: str | None) -> str:
-    """Reversed-host key of a url: ``com,example,blog)/path?query``; scheme, user, port 80/443 and fragment go."""
+    """Reversed-host key of a url: ``com,example,blog)/path?query``; scheme, user, port 80/443 and fragment go.
+
+    It is encoded here, once, so all that sorts, compares or counts keys sees the same ones."""
     url = (url or "").strip()
     if not url:
         return ""
@@ -50,7 +52,7 @@ def surt(url: str | None) -> str:
     host, path = rest[:cut].rpartition("@")[2].lower(), rest[cut:] or "/"
     host, _, port = host.partition(":")
     key = ",".join(reversed(host.removeprefix("www.").split("."))) + (f":{port}" if port not in ("", "80", "443") else "")
-    return key + ")" + (path if path.startswith("/") else "/" + path)
+    return clean(key + ")" + (path if path.startswith("/") else "/" + path))
 
 
 def clean(value: str) -> str:
@@ -169,6 +171,8 @@ def write_archive(df: DataFrame, root: str, page: str = "page_id", url: str = "u
 
 
 def build_index(captures: DataFrame, root: str) -> Archive:
+    """The index of captures whose keys are encoded as ``surt`` gives them."""
+
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         name, out = f"captures-{task:06d}", None
@@ -183,7 +187,7 @@ def build_index(captures: DataFrame, root: str) -> Archive:
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                key = clean(row[0])
+                key = row[0]
                 if out is None:
                     out, first = Output(root, name + ".blocks"), key
                 last = key

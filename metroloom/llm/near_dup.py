@@ -13,9 +13,10 @@ their levels, so neighbours share the longest prefixes:
   adapts to the region; pivots and last rows are carried over each cut.
 
 Comparisons keep pairs whose estimated similarity is within four deviations of the threshold; those are
-confirmed on full shingle sets by exact integer counts. Confirmed links make components. Rows of large
-regions that are then outside the region's main component are compared with all of the region in a
-second pass, so a link that avoids the pivots is found too.
+confirmed on full shingle sets by exact integer counts. Confirmed links make components. Rows of regions
+beyond SMALL that are then outside the region's main component are compared with all rows of other
+components in a second pass, whatever the region's size and cuts: their blocks of about BLOCK rows meet
+each block of the region in a task of its own, so a link that avoids the pivots is found too.
 
 A pair at the threshold s misses a region of one order with probability 1 - s**MIN_DEPTH, and of all
 orders with that to the power ``trees``: below 1e-6 at 0.85 with 12 orders.
@@ -42,6 +43,8 @@ from .words import mix, shingle_sets, signatures, stream, word_hashes
 
 TREES, DEPTH, MIN_DEPTH = 12, 10, 2
 SMALL, REGION, PIVOTS = 16, 4096, 4
+#: Rows of a block in the second pass; it sets how work is dealt out, not what is compared.
+BLOCK = 2048
 #: Minima of the whole signature: the orders use the first of them, the second pass all.
 FULL = 720
 
@@ -93,7 +96,10 @@ class Region:
         among = among[fits & (among != i)]
         k = self.levels.shape[1]
         least = threshold - 4.2 * math.sqrt(threshold * (1 - threshold) / k)
-        return among[(self.levels[among] == self.levels[i]).sum(1) >= least * k]
+        spare = k - math.ceil(least * k)  # levels that may differ; the first ones alone often differ more
+        few = min(k, spare * 5 // 4 + 1)
+        among = among[np.count_nonzero(self.levels[among, :few] != self.levels[i, :few], axis=1) <= spare]
+        return among[np.count_nonzero(self.levels[among] != self.levels[i], axis=1) <= spare]
 
     def middle(self, among: np.ndarray) -> int:
         """The row that shares most levels with the commonest ones."""
@@ -118,7 +124,8 @@ def runs_of(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[tuple[int
     def cut_at(rows: np.ndarray) -> int:
         half = len(rows) // 2
         levels = rows["levels"][half:]
-        shared = (levels[1:] != levels[:-1]).argmax(1)
+        apart = levels[1:] != levels[:-1]
+        shared = np.where(apart.any(1), apart.argmax(1), apart.shape[1])  # equal neighbours share all
         return half + 1 + int(shared.argmin())
 
     for batch in batches:
@@ -155,17 +162,17 @@ def as_region(rows: np.ndarray) -> Region:
 
 
 def candidates(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a < b); rows of large regions as (region, node) with b null, and whether the region was cut."""
-    out_region, out_a, out_b, out_cut = [], [], [], []
+    """Candidate pairs (a < b); rows of large regions as (region, node) with b null."""
+    out_region, out_a, out_b = [], [], []
     total = 0
 
     def flush() -> pa.RecordBatch:
         nonlocal total
         total = 0
-        arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_region, out_a, out_b, out_cut)]
-        for x in (out_region, out_a, out_b, out_cut):
+        arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_region, out_a, out_b)]
+        for x in (out_region, out_a, out_b):
             x.clear()
-        return pa.RecordBatch.from_arrays([pa.array(arrays[0]), pa.array(arrays[1]), pa.array(arrays[2], mask=arrays[2] == -1), pa.array(arrays[3].astype(bool))], ["region", "a", "b", "cut"])
+        return pa.RecordBatch.from_arrays([pa.array(arrays[0]), pa.array(arrays[1]), pa.array(arrays[2], mask=arrays[2] == -1)], ["region", "a", "b"])
 
     for name, rows, cut in runs_of(batches, REGION):
         m = len(rows)
@@ -180,42 +187,73 @@ def candidates(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[
                 out_a.append(np.minimum(x, y))
                 out_b.append(np.maximum(x, y))
                 out_region.append(np.zeros(len(near), np.int64))
-                out_cut.append(np.zeros(len(near), np.int64))
                 total += len(near)
         if not small:
             out_region.append(np.full(m, name))
             out_a.append(region.node)
             out_b.append(np.full(m, -1))
-            out_cut.append(np.full(m, int(cut)))
             total += m
         if total > 20_000:
             yield flush()
     yield flush()
 
 
+def blocks_of(members: DataFrame) -> DataFrame:
+    """(region, i, j, node, component, main, asks, told): each row outside its region's main component asks
+    in every (i, j) of its own i, each row of the region is told in every (i, j) of its own j."""
+    counts = members.groupBy("region", "component").agg(F.count("*").alias("n"))
+    shapes = counts.groupBy("region").agg(F.sum("n").alias("rows"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main")).filter("most < rows")
+    block = lambda n: F.ceil(n / BLOCK).cast("int")
+    shapes = shapes.select("region", "main", block(F.col("rows") - F.col("most")).alias("askers"), block(F.col("rows")).alias("all"))
+    rows = members.join(shapes, "region").withColumn("main", F.col("component") == F.col("main"))
+    rows = rows.withColumn("own_i", F.pmod(F.hash("region", "node"), "askers")).withColumn("own_j", F.pmod(F.xxhash64("region", "node"), "all").cast("int"))
+    cell = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    told = F.transform(upto("askers"), lambda i: cell(i, F.col("own_j")))
+    asks = F.transform(upto("all"), lambda j: cell(F.col("own_i"), j))
+    rows = rows.withColumn("cell", F.explode(F.when(F.col("main"), told).otherwise(F.array_union(told, asks))))
+    return rows.select("region", "cell.i", "cell.j", "node", "component", "main", (~F.col("main") & (F.col("own_i") == F.col("cell.i"))).alias("asks"), (F.col("own_j") == F.col("cell.j")).alias("told"))
+
+
 def leftovers(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Second pass over large regions: rows outside the main component against all rows of other components.
-
-    A pair that shares several regions is met in each; it is given in the first of them alone, cut
-    regions aside. Behind the levels travel the component and the row's region in each order (0: cut)."""
-    tail = 8 * (1 + TREES)
-    for name, rows, _ in runs_of((b.select(["region", "node", "n_shingles", "levels"]) for b in batches), REGION):
-        region, every = as_region(rows), np.arange(len(rows))
-        region.levels, behind = region.levels[:, :-tail], np.ascontiguousarray(region.levels[:, -tail:]).view(">i8")
-        component, own = behind[:, 0], behind[:, 1:].astype(np.int64)
-        names, counts = np.unique(component, return_counts=True)
-        main = names[counts.argmax()]
-        a, b = [], []
-        for i in np.flatnonzero(component != main).tolist():
-            near = region.like(i, every[component != component[i]], threshold)
-            shared = (own[near] == own[i]) & (own[i] != 0)
-            first = own[i][shared.argmax(1)]
-            near = near[~shared.any(1) | (first == name) | ~(own[i] == name).any()]
-            near = near[(component[near] == main) | (near > i)]  # others meet it from their side
-            a.append(np.minimum(region.node[i], region.node[near]))
-            b.append(np.maximum(region.node[i], region.node[near]))
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+    """Second pass: in each (region, i, j), rows that ask against rows of other components that are told.
+
+    A pair that shares several regions is met in each; it is given in the first of them alone."""
+    numbers = ("region", "i", "j", "node", "n_shingles", "component", "main", "asks", "told")
+    kind = [(x, "i8") for x in numbers] + [("levels", "u1", (FULL,)), ("own", "i8", (TREES,))]
+
+    def pairs(rows: np.ndarray) -> pa.RecordBatch:
+        region, told = Region(rows["node"], rows["n_shingles"], rows["levels"]), np.flatnonzero(rows["told"])
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in np.flatnonzero(rows["asks"]).tolist():
+            row = rows[i]
+            near = told[rows["component"][told] != row["component"]]
+            near = near[(rows["main"][near] == 1) | (rows["node"][near] > row["node"])]  # others meet it from their side
+            near = region.like(i, near, threshold)
+            near = near[row["own"][(rows["own"][near] == row["own"]).argmax(1)] == row["region"]]
+            a.append(np.minimum(row["node"], rows["node"][near]))
+            b.append(np.maximum(row["node"], rows["node"][near]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    held: list[np.ndarray] = []
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        table = np.zeros(n, kind)
+        for k, name in enumerate(numbers):
+            table[name] = batch.column(k).to_numpy(zero_copy_only=False)
+        table["levels"] = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint8).reshape(n, FULL)
+        table["own"] = batch.column(10).flatten().to_numpy().reshape(n, TREES)
+        cells = table[["region", "i", "j"]]
+        edges = np.flatnonzero(np.append(cells[1:] != cells[:-1], True)) + 1
+        for i, j in zip([0, *edges[:-1].tolist()], edges.tolist(), strict=True):
+            if held and held[0][["region", "i", "j"]][0] != cells[i]:
+                yield pairs(np.concatenate(held))
+                held = []
+            held.append(table[i:j])
+    if held:
+        yield pairs(np.concatenate(held))
 
 
 def fetch_sets(nodes: DataFrame, reps: DataFrame, df: DataFrame, key: str, text: str, words: int, join: str | None = None) -> DataFrame:
@@ -274,7 +312,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     tree = F.posexplode("regions").alias("t", "region")
     placed = reps.select("node", "n_shingles", "sig", tree).select("region", "node", "n_shingles", F.expr(f"concat(substring(sig, t * {DEPTH} + 1, {TREES * DEPTH} - t * {DEPTH}), substring(sig, 1, t * {DEPTH}))").alias("levels"))
     ordered = sh.dealt(placed, "region", order=("levels",))
-    found = sh.materialise(ordered.mapInArrow(lambda it: candidates(it, threshold), "region long, a long, b long, cut boolean"), "candidates")
+    found = sh.materialise(ordered.mapInArrow(lambda it: candidates(it, threshold), "region long, a long, b long"), "candidates")
     pairs = sh.materialise(found.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")
     sets = fetch_sets(nodes_of(pairs), reps, df, key, text, words, "merge")
     links = sh.materialise(confirm(pairs, sets, percent), "links")
@@ -282,15 +320,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
 
     large = found.filter("b IS NULL").select("region", F.col("a").alias("node")).distinct()
     if not large.isEmpty():
-        label = F.coalesce("component", "node")
-        cuts = found.filter("b IS NULL AND cut").groupBy(F.col("a").alias("node")).agg(F.collect_set("region").alias("cuts"))
-        members = large.join(reps.select("node", "n_shingles", "sig", "regions"), "node").join(joined, "node", "left").join(cuts, "node", "left").withColumn("component", label)
-        mixed = members.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("region")
-        whole = F.transform("regions", lambda r: F.when(F.coalesce(F.array_contains("cuts", r), F.lit(False)), F.lit(0).cast("long")).otherwise(r))
-        eight = lambda x: F.lpad(F.hex(x), 16, "0")
-        tail = F.unhex(F.concat(eight(F.col("component")), F.array_join(F.transform(whole, eight), "")))
-        again = members.join(mixed, "region", "left_semi").select("region", "node", "n_shingles", F.concat("sig", tail).alias("levels"))
-        again = sh.dealt(again, "region", order=("levels",))
+        members = large.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        again = blocks_of(members).join(reps.select("node", "n_shingles", "sig", "regions"), "node")
+        again = again.select("region", "i", "j", "node", "n_shingles", "component", *(F.col(x).cast("long") for x in ("main", "asks", "told")), "sig", "regions")
+        again = sh.dealt(again, "region", "i", "j")
         more = again.mapInArrow(lambda it: leftovers(it, threshold), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
         more = sh.materialise(more, "more")
         lacking = sh.materialise(nodes_of(more).join(sets, "node", "left_anti"), "lacking")

@@ -91,6 +91,29 @@ def test_near_on_large_regions(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_near_links_of_a_template_beyond_every_limit(spark, monkeypatch):
+    """Texts of one template, unlike each other but for planted pairs that no pivot joins, in regions that are cut."""
+    monkeypatch.setattr(near_dup, "REGION", 64)
+    monkeypatch.setattr(near_dup, "BLOCK", 48, raising=False)
+    rng = random.Random(12)
+    base = " ".join("w%d" % rng.randrange(9000) for _ in range(300))
+    texts = [family(rng, base, 10) for _ in range(300)]
+    texts += [family(rng, t, 5) for t in texts[:150]]
+    got = near_dup.near_duplicates(docs(spark, texts), percent=80).collect()
+    want = brute_components(list(enumerate(texts)), 80)
+    assert sum(i != c for i, (_, c) in want.items()) > 100
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def test_near_cuts_between_unlike_neighbours():
+    """Equal neighbours share all levels, so a cut does not part them."""
+    n = 12
+    levels = np.repeat(np.arange(2, dtype=np.uint8), n // 2 + 2)[:n].reshape(n, 1).repeat(3, 1)
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([9] * n, pa.int64()), pa.array([x.tobytes() for x in levels], pa.binary())], ["region", "node", "n_shingles", "levels"])
+    _, rows, cut = next(near_dup.runs_of([batch], n - 1))
+    assert cut and len(rows) == n // 2 + 2
+
+
 def test_near_empty_and_stage(spark):
     df = docs(spark, ["", None, "a b c d e f", "a b c d e f", "A B C D E F"])
     assert near_dup.near_duplicates(df.limit(0)).count() == 0

@@ -719,6 +719,18 @@ def meeting_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return palette.meeting_graph(at, fam, spark.createDataFrame([], "a_id bigint, b_id bigint"))
 
 
+# -- whole tables: the queries above of the same names hold to their SQL, which takes a part ---------
+@query("""
+    WITH fam AS (SELECT DISTINCT l_suppkey AS station, p_brand AS f FROM lineitem JOIN part ON p_partkey = l_partkey)
+    SELECT DISTINCT x.f AS a, y.f AS b FROM fam x JOIN fam y ON x.station = y.station AND x.f < y.f
+""")
+def meeting_graph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands that share a supplier, over all suppliers and lines."""
+    fam = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("family")).agg(F.collect_list("p_partkey").alias("line_ids"))
+    at = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("station_id"), F.col("l_partkey").alias("line_id"))
+    return palette.meeting_graph(at, fam, spark.createDataFrame([], "a_id bigint, b_id bigint"))
+
+
 # -- results that depend on processing order: rows only -------------------------------------------
 @query()
 def dedupe_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:

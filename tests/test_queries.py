@@ -37,3 +37,14 @@ def test_query(spark, duck, name):
     order = sorted(columns)
     want = sorted(repr([plain(row[columns.index(c)]) for c in order]) for row in r.fetchall())
     assert sorted(repr([plain(row[c]) for c in order]) for row in got) == want
+
+
+def test_whole_tables(spark):
+    """Meeting brands over all rows, by brute force."""
+    read = lambda name, *c: [tuple(r) for r in spark.read.parquet(f"{DATA}/{name}.parquet").select(*c).collect()]
+    brand, at = dict(read("part", "p_partkey", "p_brand")), {}
+    for s, p in read("lineitem", "l_suppkey", "l_partkey"):
+        at.setdefault(s, set()).add(brand[p])
+    want = {(a, b) for f in at.values() for a in f for b in f if a < b}
+    got = [tuple(r) for r in queries.QUERIES["meeting_graph_whole"](spark, DATA).collect()]
+    assert len(got) == len(set(got)) and set(got) == want

@@ -731,6 +731,17 @@ def meeting_graph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return palette.meeting_graph(at, fam, spark.createDataFrame([], "a_id bigint, b_id bigint"))
 
 
+@query("""
+    SELECT c_custkey AS id, 'missing' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_orderkey, 'extra' FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)
+""")
+def reconcile_sets_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against all order keys."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    o = table(spark, sf_dir, "orders")
+    missing = chains.reconcile(c, o.select(F.col("o_custkey").alias("id")), ["id"]).filter("side = 'missing'")
+    return missing.unionByName(chains.reconcile(c, o.select(F.col("o_orderkey").alias("id")), ["id"]).filter("side = 'extra'"))
+
+
 # -- results that depend on processing order: rows only -------------------------------------------
 @query()
 def dedupe_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ def test_query(spark, duck, name):
 
 
 def test_whole_tables(spark):
-    """Meeting brands over all rows, by brute force."""
+    """Meeting brands and extra keys over all rows, by brute force."""
     read = lambda name, *c: [tuple(r) for r in spark.read.parquet(f"{DATA}/{name}.parquet").select(*c).collect()]
     brand, at = dict(read("part", "p_partkey", "p_brand")), {}
     for s, p in read("lineitem", "l_suppkey", "l_partkey"):
@@ -48,3 +48,7 @@ def test_whole_tables(spark):
     want = {(a, b) for f in at.values() for a in f for b in f if a < b}
     got = [tuple(r) for r in queries.QUERIES["meeting_graph_whole"](spark, DATA).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+    customers, orders = {c for (c,) in read("customer", "c_custkey")}, read("orders", "o_orderkey", "o_custkey")
+    want = {(c, "missing") for c in customers - {c for _, c in orders}} | {(o, "extra") for o, _ in orders if o not in customers}
+    got = [tuple(r) for r in queries.QUERIES["reconcile_sets_whole"](spark, DATA).select("id", "side").collect()]
+    assert len(got) == len(set(got)) and set(got) == want

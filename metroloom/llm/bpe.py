@@ -4,7 +4,8 @@ Words are cut by the vocabulary's public pre-tokenisation pattern. For the disti
 block of texts a trie walk over all words at once proposes the greedy longest-match tokens; an
 array check then tests every adjacent pair of proposals. A token sequence is the BPE result of its
 word exactly when each token is reachable and each adjacent pair is compatible, so words that
-pass are done, and only words that fail are merged rank by rank.
+pass are done, and only words that fail are merged rank by rank. A worker remembers the words it
+has met; a remembered word counts as met only if its bytes agree, not its hash alone.
 
 Edge cases: a null text counts as empty and has no ids; a special token's string inside a text
 becomes its id, as in the tokenizers library; texts of any length are processed whole.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import _shared as sh
+from .words import span_hashes
 
 #: Letters and numbers (first, last code point) of Unicode 17 and 18, which the
 #: tokenizers library, at Unicode 16, takes as other signs.
@@ -41,9 +43,9 @@ LATER = [
 ]
 #: Distinct words kept by a worker; the table starts anew beyond it, which costs time only.
 CACHE_WORDS = 300_000
-#: Odd multiplier of the words' polynomial hash, and its inverse modulo 2**64.
+#: Odd multiplier that deals keys over slots.
 BASE = 0x9E3779B97F4A7C15
-#: Bytes beyond which a word is merged by itself.
+#: Bytes beyond which a word is walked by itself, since words in step wait for the longest.
 LONG = 400
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 NONE = np.iinfo(np.int64).max
@@ -115,43 +117,6 @@ def classes() -> np.ndarray:
     return table
 
 
-@functools.lru_cache(maxsize=1)
-def weights(n: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse."""
-    out = []
-    for b in (BASE, pow(BASE, -1, 1 << 64)):
-        p = np.ones(n, np.uint64)
-        with np.errstate(over="ignore"):
-            filled, step = 1, np.uint64(b)
-            while filled < n:
-                k = min(filled, n - filled)
-                p[filled : filled + k] = p[:k] * step
-                filled, step = filled + k, step * step
-        out.append(p)
-    return out[0], out[1]
-
-
-def hash_spans(points: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """64-bit hashes of consecutive spans that cover ``points``; equal spans have equal hashes."""
-    up, down = weights()
-    out = []
-    with np.errstate(over="ignore"):
-        i = 0
-        while i < len(starts):
-            lo = starts[i]
-            j = max(i + 1, int(np.searchsorted(stops, lo + len(up), side="right")))
-            own = points[lo : stops[j - 1]].astype(np.uint64) + np.uint64(1)
-            if len(own) > len(up):  # one very long word
-                powers = np.concatenate([up * np.uint64(pow(BASE, k * len(up), 1 << 64)) for k in range(-(-len(own) // len(up)))])
-                out.append(np.array([(own * powers[: len(own)]).sum()], np.uint64))
-            else:
-                out.append(np.add.reduceat(own * up[: len(own)], starts[i:j] - lo) * down[starts[i:j] - lo])
-            i = j
-        total = np.concatenate(out)
-        total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + (stops - starts).astype(np.uint64)
-        return np.maximum(total ^ (total >> np.uint64(32)), np.uint64(1))
-
-
 def gather(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The spans of ``data`` one after another, and where each ends."""
     ends = np.cumsum(stops - starts)
@@ -254,29 +219,51 @@ class BpeCodec:
                     accept.append(-1)
                 node = nxt
             accept[node] = i
+        self.children, self.accepted = children, accept
         self.child = Table(19)
         self.child.put(np.fromiter(children.keys(), np.uint64, len(children)) + np.uint64(1), np.fromiter(children.values(), np.int64, len(children)))
         self.accept = np.array(accept, np.int32)
 
     def _forget(self, room: int = 0) -> None:
         self.index, self.known = Table(max(20, (2 * room).bit_length())), 0
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.counts = np.zeros(1 << 16, np.int32)
-        self.flat = np.zeros(1 << 18, np.int32)
-        self.filled = 0
-
-    def _remember(self, hashes: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
-        at = self.known
-        self.known += len(hashes)
-        self.index.put(hashes, np.arange(at, self.known))
-        while len(self.starts) < self.known:
-            self.starts, self.counts = np.concatenate([self.starts, np.zeros_like(self.starts)]), np.concatenate([self.counts, np.zeros_like(self.counts)])
-        while len(self.flat) < self.filled + len(ids):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.counts[at : self.known] = counts
-        self.starts[at : self.known] = self.filled + np.cumsum(counts) - counts
+        # of each word: where its ids and its bytes begin, and how many there are
+        self.starts, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.spots, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.flat, self.filled = np.zeros(1 << 18, np.int32), 0
+        self.body, self.written = np.zeros(1 << 20, np.uint8), 0
+
+    def _remember(self, hashes: np.ndarray | None, counts: np.ndarray, ids: np.ndarray, buf: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Numbers of new words; without hashes they are found by these numbers alone."""
+        at, n = self.known, len(counts)
+        numbers = np.arange(at, at + n)
+        self.known += n
+        if hashes is not None:
+            self.index.put(hashes, numbers)
+        for name, total in (("starts", self.known), ("counts", self.known), ("spots", self.known), ("sizes", self.known), ("flat", self.filled + len(ids)), ("body", self.written + len(buf))):
+            held = getattr(self, name)
+            if len(held) < total:
+                setattr(self, name, np.concatenate([held, np.zeros(max(total - len(held), len(held)), held.dtype)]))
+        self.counts[numbers] = counts
+        self.starts[numbers] = self.filled + np.cumsum(counts) - counts
+        self.sizes[numbers] = np.diff(ends, prepend=0)
+        self.spots[numbers] = self.written + ends - self.sizes[numbers]
         self.flat[self.filled : self.filled + len(ids)] = ids
+        self.body[self.written : self.written + len(buf)] = buf
         self.filled += len(ids)
+        self.written += len(buf)
+        return numbers
+
+    def differing(self, at: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Which of the words that follow each other in ``data`` are not, byte for byte, the remembered ones."""
+        same = self.sizes[at] == stops - starts
+        sure = np.flatnonzero(same)
+        held, _ = gather(self.body, self.spots[at[sure]], self.spots[at[sure]] + self.sizes[at[sure]])
+        own = data[starts[0] : stops[-1]] if len(sure) == len(at) else gather(data, starts[sure], stops[sure])[0]
+        if not np.array_equal(held, own):
+            unlike = np.concatenate([[0], np.cumsum(held != own)])
+            ends = np.cumsum(stops[sure] - starts[sure])
+            same[sure] = unlike[ends] == unlike[ends - (stops[sure] - starts[sure])]
+        return np.flatnonzero(~same)
 
     # -- speculation, verification, exact merging -------------------------------------------
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -372,6 +359,19 @@ class BpeCodec:
         order = np.argsort(which, kind="stable")
         return (np.concatenate(out_token)[order] if out_token else token), which[order]
 
+    def walk(self, word: bytes) -> list[int]:
+        """Greedy longest match over one word."""
+        children, accepted, out, at, n = self.children, self.accepted, [], 0, len(word)
+        while at < n:
+            node, pos, token, after = 0, at, -1, at
+            while pos < n and (node := children.get(node << 8 | word[pos])) is not None:
+                pos += 1
+                if accepted[node] >= 0:
+                    token, after = accepted[node], pos
+            out.append(token)
+            at = after
+        return out
+
     def merge_long(self, word: bytes) -> list[int]:
         """Exact merging of one long word: a heap of pairs, lowest rank first, leftmost among equals."""
         ids = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
@@ -399,22 +399,33 @@ class BpeCodec:
         a, b = self.merged
         return dict(zip((a * self.size + b).tolist(), range(len(a)), strict=True))
 
-    def encode_words(self, buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Ids in word order, counts per word, and how many words had to be merged exactly.
+    def propose(self, buf: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Proposed ids in word order and the word of each; short words go in step, long ones alone."""
+        n = len(ends)
+        long = np.flatnonzero(ends - begins > LONG)
+        if not len(long):
+            ids, counts = self.speculate(buf, ends)
+            return ids, np.repeat(np.arange(n), counts)
+        short = np.flatnonzero(ends - begins <= LONG)
+        ids, counts = self.speculate(*gather(buf, begins[short], ends[short]))
+        own = [np.array(self.walk(buf[begins[i] : ends[i]].tobytes()), np.int32) for i in long.tolist()]
+        which = np.concatenate([np.repeat(short, counts), np.repeat(long, [len(x) for x in own])])
+        order = np.argsort(which, kind="stable")
+        return np.concatenate([ids, *own])[order], which[order]
 
-        All words go in step, so a word far longer than others would hold them up: it goes alone."""
+    def merge_words(self, buf: np.ndarray, begins: np.ndarray, ends: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact ids of the words ``bad``, and the word of each id."""
+        long = ends[bad] - begins[bad] > LONG
+        short = bad[~long]
+        ids, whose = self.merge_all(*gather(buf, begins[short], ends[short]))
+        own = [np.array(self.merge_long(buf[begins[i] : ends[i]].tobytes()), np.int64) for i in bad[long].tolist()]
+        return np.concatenate([ids, *own]), np.concatenate([short[whose], np.repeat(bad[long], [len(x) for x in own])])
+
+    def encode_words(self, buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ids in word order, counts per word, and how many words had to be merged exactly."""
         n = len(ends)
         begins = ends - np.diff(ends, prepend=0)
-        long = np.flatnonzero(ends - begins > LONG)
-        if len(long):
-            short = np.flatnonzero(ends - begins <= LONG)
-            ids, counts, failed = self.encode_words(*gather(buf, begins[short], ends[short]))
-            own = [np.array(self.merge_long(buf[begins[i] : ends[i]].tobytes()), np.int32) for i in long.tolist()]
-            which = np.concatenate([np.repeat(short, counts), np.repeat(long, [len(x) for x in own])])
-            order = np.argsort(which, kind="stable")
-            return np.concatenate([ids, *own])[order], np.bincount(which, minlength=n), failed + len(long)
-        ids, counts = self.speculate(buf, ends)
-        which = np.repeat(np.arange(n), counts)
+        ids, which = self.propose(buf, begins, ends)
         failed = np.zeros(n, bool)
         failed[which[~self.reachable[ids]]] = True
         inside = np.flatnonzero(which[1:] == which[:-1])
@@ -423,14 +434,17 @@ class BpeCodec:
             fine = self.compatible(keys // self.size, keys % self.size)
             failed[which[inside[~fine[back]]]] = True
         if failed.any():
-            bad = np.flatnonzero(failed)
-            exact, whose = self.merge_all(*gather(buf, begins[bad], ends[bad]))
+            exact, whose = self.merge_words(buf, begins, ends, np.flatnonzero(failed))
             fine = ~failed[which]
-            which = np.concatenate([which[fine], bad[whose]])
+            which = np.concatenate([which[fine], whose])
             order = np.argsort(which, kind="stable")
             ids = np.concatenate([ids[fine], exact.astype(np.int32)])[order]
-            counts = np.bincount(which, minlength=n)
-        return ids, counts, int(failed.sum())
+        return ids, np.bincount(which, minlength=n), int(failed.sum())
+
+    def _learn(self, data: np.ndarray, begin: np.ndarray, stop: np.ndarray, which: np.ndarray, hashes: np.ndarray | None) -> np.ndarray:
+        buf, ends = gather(data, begin[which], stop[which])
+        ids, counts, _ = self.encode_words(buf, ends)
+        return self._remember(hashes, counts, ids, buf, ends)
 
     # -- texts ------------------------------------------------------------------------------
     def _encode_specials(self, text: str) -> np.ndarray:
@@ -445,8 +459,13 @@ class BpeCodec:
         if not len(points):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         starts = cut_words(points, ends)
-        stops = np.append(starts[1:], len(points))
-        hashes = hash_spans(points, starts, stops)
+        data = np.frombuffer("".join(texts).encode("utf-8", "surrogatepass"), np.uint8)
+        byte = np.append(starts, len(points))
+        if len(data) > len(points):  # not ASCII alone
+            width = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
+            byte = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])[byte]
+        begin, stop = byte[:-1], byte[1:]
+        hashes = np.maximum(span_hashes(data, begin, stop), np.uint64(1))
         at = self.index.get(hashes)
         miss = np.flatnonzero(at < 0)
         if len(miss):
@@ -455,16 +474,11 @@ class BpeCodec:
                 miss = np.arange(len(hashes))
                 new, first = np.unique(hashes, return_index=True)
                 self._forget(len(new))
-            of = miss[first]
-            data = np.frombuffer("".join(texts).encode("utf-8", "surrogatepass"), np.uint8)
-            if len(data) == len(points):  # ASCII
-                byte = np.arange(len(points) + 1)
-            else:
-                width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-                byte = np.concatenate([[0], np.cumsum(width)])
-            ids, counts, _ = self.encode_words(*gather(data, byte[starts[of]], byte[stops[of]]))
-            self._remember(new, counts, ids)
+            self._learn(data, begin, stop, miss[first], new)
             at[miss] = self.index.get(hashes[miss])
+        unlike = self.differing(at, data, begin, stop)
+        if len(unlike):  # equal hashes of different words: these are done by themselves
+            at[unlike] = self._learn(data, begin, stop, unlike, None)
         counts = self.counts[at]
         before = np.concatenate([[0], np.cumsum(counts)])
         ids = self.flat[np.repeat(self.starts[at] - before[:-1], counts) + np.arange(before[-1])]
@@ -518,7 +532,6 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds ``out``, the text of the ids in ``ids`` (special tokens kept); null ids give an empty text."""
     df = df.drop(out) if out in df.columns else df
-    df = df.drop(out) if out in df.columns else df
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     places = df.columns
 

@@ -8,7 +8,7 @@ message, form the loss mask.
 
 Escaping is reversible: a backslash is doubled, and a control string gets a backslash behind its first
 sign, so no control string is left inside a text; reading takes the sign after each backslash as it
-is. In roles a line end is escaped too, for it ends the header.
+is. Neighbouring text parts are escaped as one text, so no control string arises where they meet. In roles a line end is escaped too, for it ends the header.
 
 A conversation is a stream of formatted messages in the order of its turns; nothing holds a whole
 one. Messages are dealt by conversation, sorted by turn, and folded as they pass, so memory holds
@@ -74,6 +74,7 @@ class Visitor:
     length: int = 0
     spans: list[tuple[int, int]] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
+    waiting: list[str] = field(default_factory=list)
 
     def put(self, text: str) -> None:
         self.out.append(text)
@@ -84,10 +85,15 @@ class Visitor:
         getattr(self, f"visit_{kind}", self.visit_document)(part)
 
     def visit_text(self, part: dict) -> None:
-        start = self.length
-        self.put(escape(part.get("text") or ""))
-        if self.length > start:
-            self.spans.append((start, self.length))
+        self.waiting.append(part.get("text") or "")
+
+    def close_text(self) -> None:
+        """Puts out the text parts since the last placeholder, escaped as one."""
+        text = escape("".join(self.waiting))
+        self.waiting.clear()
+        if text:
+            self.spans.append((self.length, self.length + len(text)))
+            self.put(text)
 
     def visit_image(self, part: dict) -> None:
         across, down = (math.ceil((part.get(k) or 0) / self.sizes.patch) for k in ("width", "height"))
@@ -100,6 +106,7 @@ class Visitor:
         self.attach("document", part, max(1, part.get("pages") or 0) * self.sizes.page)
 
     def attach(self, kind: str, part: dict, tokens: int) -> None:
+        self.close_text()
         number = len(self.attachments)
         self.attachments.append({"kind": kind, "ref": part.get("ref") or "", "number": number, "tokens": tokens})
         self.put(f"<|{kind}:{number}|>")
@@ -111,6 +118,7 @@ def format_message(role: str | None, parts: list[dict], sizes: Sizes | None = No
     v = Visitor(sizes or Sizes())
     for p in parts:
         v.visit(p or {})
+    v.close_text()
     spans = [(i + len(head), j + len(head)) for i, j in v.spans] if role == "assistant" else []
     return head + "".join(v.out) + END + "\n", spans, v.attachments
 

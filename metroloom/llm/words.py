@@ -7,8 +7,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 
-from .bpe import weights
-
 M1, M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -26,7 +24,6 @@ def stream(seed: int, n: int) -> np.ndarray:
         return mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 20)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-BYTES = stream(1, 256)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: White space that parts words: 0x20 and 0x09 to 0x0D.
@@ -36,6 +33,36 @@ BLANK[[0x20, *range(0x09, 0x0E)]] = True
 SIGNS = np.ones(256, bool)
 SIGNS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 WINDOW = 1 << 20
+#: Bytes of a span beyond which it is hashed by itself, and masks of the last bytes of shorter ones.
+LONG = 64
+ENDS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def heads(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number; zeros follow the data."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    return np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int = 5) -> np.ndarray:
+    """64-bit hashes of spans of bytes.
+
+    Eight bytes are taken at a time and the state goes through a bijection after each, so, unlike sums of
+    powers, nothing that a text repeats cancels out; spans of up to eight bytes and one length never
+    collide. Spans beyond LONG bytes get a keyed digest each."""
+    sizes = stops - starts
+    ahead = heads(data)
+    with np.errstate(over="ignore"):
+        out = mix(sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + stream(seed, 1))
+        live, at, left = np.arange(len(starts)), starts, np.minimum(sizes, LONG)
+        while len(live):
+            out[live] = mix(out[live] ^ (ahead[at] & ENDS[np.minimum(left, 8)]))
+            on = left > 8
+            live, at, left = live[on], at[on] + 8, left[on] - 8
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : stops[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+    return out
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -54,13 +81,12 @@ def word_hashes(column: pa.Array, parts: np.ndarray = BLANK) -> tuple[np.ndarray
 
 
 def word_parts(column: pa.Array, parts: np.ndarray, prefixes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """As word_hashes, with a row of hashes for the words and one for their first n bytes, for each n
-    (a shorter word has its own hash there).
+    """As word_hashes, with a row of hashes for the words and one for their first n bytes, for each n up to
+    eight (a shorter word has its own hash there).
 
     Works through windows of about a megabyte that end between words; a single longer word is
     hashed alone."""
     data, offsets = text_bytes(column)
-    up, down = weights()
     out, at = [], []
     lo, n = 0, len(data)
     while lo < n:
@@ -75,8 +101,9 @@ def word_parts(column: pa.Array, parts: np.ndarray, prefixes: tuple[int, ...]) -
                     hi += WINDOW
                 ahead = np.flatnonzero(parts[data[hi:stop]][:WINDOW]) if hi < stop else []
                 hi = hi + int(ahead[0]) if len(ahead) else stop
-                one = np.frombuffer(hashlib.blake2b(LOWER[data[lo:hi]].tobytes(), digest_size=8).digest(), np.uint64)
-                out.append(np.repeat(one[None], 1 + len(prefixes), 0))
+                one = span_hashes(LOWER[data[lo:hi]], np.array([0]), np.array([hi - lo]))
+                first = [mix(heads(LOWER[data[lo : lo + 8]])[:1] & ENDS[n] ^ stream(6, n)[-1:]) for n in prefixes]
+                out.append(np.stack([one, *first]))
                 at.append(np.array([lo]))
                 lo = hi
                 continue
@@ -89,18 +116,15 @@ def word_parts(column: pa.Array, parts: np.ndarray, prefixes: tuple[int, ...]) -
         start[borders] = inside[borders]
         starts = np.flatnonzero(start)
         if len(starts):
-            with np.errstate(over="ignore"):
-                value = BYTES[b] * up[: len(b)]
-                value[~inside] = 0
-                rows = [np.add.reduceat(value, starts) * down[starts]]
-                head, width = np.zeros(len(starts), np.uint64), np.ones(len(starts), bool)
-                for j in range(max(prefixes, default=0)):
-                    at_j = np.minimum(starts + j, len(b) - 1)
-                    width &= inside[at_j] & (starts + j < len(b)) & ((starts + j == starts) | ~start[at_j])
-                    head += np.where(width, value[at_j], 0)
-                    if j + 1 in prefixes:
-                        rows.append(np.where(width, head * down[starts] * np.uint64(2 * j + 3), rows[0]))
-            out.append(mix(np.stack(rows)))
+            over = ~inside
+            over[starts] = True  # a row can begin right behind a word
+            stops = np.append(np.flatnonzero(over), len(b))
+            stops = stops[np.searchsorted(stops, starts, side="right")]
+            rows = [span_hashes(b, starts, stops)]
+            ahead = heads(b)[starts] if prefixes else None
+            for n in prefixes:
+                rows.append(np.where(stops - starts >= n, mix(ahead & ENDS[n] ^ stream(6, n)[-1]), rows[0]))
+            out.append(np.stack(rows))
             at.append(starts + lo)
         lo = hi
     hashes = np.concatenate(out, 1) if out else np.zeros((1 + len(prefixes), 0), np.uint64)

@@ -9,6 +9,7 @@ import pytest
 from metroloom.llm import exact_dedup, near_dup, words
 
 from .conftest import docs
+from .test_tokens import alternating
 
 
 def shingles(text, k=5):
@@ -81,9 +82,33 @@ def test_near_against_brute_force(spark, odd_texts):
             assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]] and r["kept"] == (r["doc_id"] == r["component_id"])
 
 
-def test_near_on_large_regions(spark, monkeypatch):
-    """Regions beyond every limit are cut and still joined."""
-    monkeypatch.setattr(near_dup, "REGION", 64)
+def planted(n, edits=10):
+    """Texts of one template, unlike each other, each but the last third with a near copy."""
+    rng = random.Random(12)
+    base = " ".join("w%d" % rng.randrange(9000) for _ in range(300))
+    texts = [family(rng, base, edits) for _ in range(n)]
+    return texts + [family(rng, t, 5) for t in texts[: n * 2 // 3]]
+
+
+def test_near_links_of_a_template_in_dense_regions(spark, monkeypatch):
+    """Dense regions of every depth: planted pairs that neither neighbours nor pivots need to join are found."""
+    texts = planted(600)
+    want = brute_components(list(enumerate(texts)), 80)
+    assert sum(i != c for i, (_, c) in want.items()) >= 400
+    rounds, asked = [], []
+    inner_members, inner_blocks = near_dup.members_of, near_dup.blocks_of
+    monkeypatch.setattr(near_dup, "members_of", lambda rows, depth, carried: (rounds.append(depth), inner_members(rows, depth, carried))[1])
+    monkeypatch.setattr(near_dup, "blocks_of", lambda members, shapes: (asked.append(shapes.filter("direct").count()), inner_blocks(members, shapes))[1])
+    # limits that the driver uses in plans; so many rows are beyond STRAYS at the first depths, and blocks are cut
+    monkeypatch.setattr(near_dup, "STRAYS", 8)
+    monkeypatch.setattr(near_dup, "BLOCK", 64)
+    got = near_dup.near_duplicates(docs(spark, texts), percent=80).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert len(rounds) >= 2 and sum(asked) > 0
+
+
+def test_near_star_of_one_text(spark):
+    """Copies that link to their common origin alone, in one dense region."""
     rng = random.Random(11)
     base = " ".join("w%d" % rng.randrange(9000) for _ in range(300))
     texts = [base] + [family(rng, base, 3) for _ in range(400)]
@@ -91,27 +116,36 @@ def test_near_on_large_regions(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {0}
 
 
-def test_near_links_of_a_template_beyond_every_limit(spark, monkeypatch):
-    """Texts of one template, unlike each other but for planted pairs that no pivot joins, in regions that are cut."""
-    monkeypatch.setattr(near_dup, "REGION", 64)
-    monkeypatch.setattr(near_dup, "BLOCK", 48, raising=False)
-    rng = random.Random(12)
-    base = " ".join("w%d" % rng.randrange(9000) for _ in range(300))
-    texts = [family(rng, base, 10) for _ in range(300)]
-    texts += [family(rng, t, 5) for t in texts[:150]]
-    got = near_dup.near_duplicates(docs(spark, texts), percent=80).collect()
-    want = brute_components(list(enumerate(texts)), 80)
-    assert sum(i != c for i, (_, c) in want.items()) > 100
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+def test_neighbours_share_the_longest_prefixes():
+    """In one region of more than WINDOW + 1 rows only rows side by side are compared, besides pivots; in a smaller one all are."""
+    rng = np.random.default_rng(0)
+
+    def run(n):
+        levels = np.sort(rng.integers(0, 4, (n, 128)).astype(np.uint8).view("S128").ravel()).view(np.uint8).reshape(n, 128)
+        columns = {"region": [7] * n, "n": [n] * n, "node": list(range(n)), "n_shingles": [9] * n, "component": list(range(n)), "levels": [x.tobytes() for x in levels]}
+        out = list(near_dup.candidates(pa.table(columns).to_batches(max_chunksize=5), 0.16, 128))
+        return {(a, b) for x in out for a, b in zip(x["a"].to_pylist(), x["b"].to_pylist())}
+
+    few = run(near_dup.WINDOW + 1)
+    assert len(few) == near_dup.WINDOW * (near_dup.WINDOW + 1) // 2
+    many = run(60)
+    assert {(i, i + 1) for i in range(59)} <= many and len(many) < 59 + near_dup.PIVOTS * 60
+
+
+def test_shared_shingles_are_counted_exactly():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(40)]
+    shared = near_dup.Shared(sets)
+    for s in sets:
+        assert shared.counts(s).tolist() == [len(np.intersect1d(s, t)) for t in sets]
 
 
-def test_near_cuts_between_unlike_neighbours():
-    """Equal neighbours share all levels, so a cut does not part them."""
-    n = 12
-    levels = np.repeat(np.arange(2, dtype=np.uint8), n // 2 + 2)[:n].reshape(n, 1).repeat(3, 1)
-    batch = pa.RecordBatch.from_arrays([pa.array([7] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([9] * n, pa.int64()), pa.array([x.tobytes() for x in levels], pa.binary())], ["region", "node", "n_shingles", "levels"])
-    _, rows, cut = next(near_dup.runs_of([batch], n - 1))
-    assert cut and len(rows) == n // 2 + 2
+def test_words_of_equal_power_sums_make_two_sets(spark):
+    texts = [w for n in (1024, 2048) for x, y in (("a", "b"), ("k", "q")) for w in alternating(n, x, y)]
+    sets = words.shingle_sets(*words.word_hashes(pa.array([f"one two {t} three four" for t in texts])))
+    assert len({s.tobytes() for s in sets}) == len(texts)
+    got = near_dup.near_duplicates(docs(spark, texts)).collect()
+    assert all(r["component_id"] == r["doc_id"] and r["n_shingles"] == 1 for r in got)
 
 
 def test_near_empty_and_stage(spark):

@@ -7,12 +7,13 @@ is what shares its first d levels. In each order
 
 * a region of up to WINDOW + 1 rows is compared whole: each row with all its neighbours that share the prefix;
 * in a denser one each row is compared with the neighbours next to it, whose common prefix is the
-  longest there is, and with pivots, rows that share most levels with the region's commonest ones.
+  longest there is, and in the shallowest forest with pivots, rows that share most levels with the region's
+  commonest ones.
 
 Comparisons keep pairs whose estimated similarity is within five deviations of the threshold; those are
 confirmed on full shingle sets by exact integer counts. Confirmed links make components, and a dense region
-that lies in one component is done. Of every other dense region, rows outside its main component that are
-few (STRAYS at most) are compared with all its rows; the rows of the remaining regions are sorted anew
+that lies in one component is done. Of every other dense region, rows outside its main component, if they
+fill a block at most, are compared with all its rows; the rows of the remaining regions are sorted anew
 with a depth greater by two and as many orders as that depth asks for, so the depth follows each region's
 density. At the greatest depth all rows outside the main component are compared with all rows,
 whatever the region's size. Such comparisons are dealt out as blocks of about BLOCK rows against blocks, and
@@ -36,7 +37,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
@@ -44,10 +45,10 @@ from . import _shared as sh
 from .words import mix, shingle_sets, signatures, stream, word_hashes
 
 DEPTHS, MISS, MOST = (2, 4, 6, 8), 1e-6, 640
-WINDOW, PIVOTS, STRAYS = 16, 4, 128
+WINDOW, PIVOTS = 16, 4
 #: Levels that rows carry in an order; the whole signature stays with the class.
 CARRIED = 128
-#: Rows (and shingles) of a block, and rows that choose pivots together: these set how work is dealt out, not what is compared.
+#: Rows (and shingles) of a block, and rows that choose pivots together: these set how work is dealt out, not what is linked.
 BLOCK, BLOCK_SHINGLES, PIECE = 2048, 1 << 21, 4096
 
 
@@ -186,8 +187,8 @@ def groups(rows: np.ndarray, keys: list[str]) -> list[tuple[int, int]]:
     return list(zip([0, *edges[:-1].tolist()], edges.tolist(), strict=True)) if len(rows) else []
 
 
-def candidates(batches: Iterable[pa.RecordBatch], threshold: float, carried: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a < b) of rows sorted by (region, levels): neighbours and, in dense regions, pivots."""
+def candidates(batches: Iterable[pa.RecordBatch], threshold: float, carried: int, pivots: bool) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs (a < b) of rows sorted by (region, levels): neighbours and, if asked for, pivots of dense regions."""
     tables = (table_of(b, MEMBER, levels=("u1", carried)) for b in batches if b.num_rows)
     for rows in chunks(tables, ["region"], PIECE, False):
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -201,7 +202,7 @@ def candidates(batches: Iterable[pa.RecordBatch], threshold: float, carried: int
             i = np.arange(len(rows) - w)
             i = i[(rows["region"][i] == rows["region"][i + w]) & (rows["n"][i] <= (WINDOW + 1 if w > 1 else rows["n"][i]))]
             give(*every.alike(i, i + w, threshold))
-        for lo, hi in groups(rows, ["region"]) if (rows["n"] > WINDOW + 1).any() else []:
+        for lo, hi in groups(rows, ["region"]) if pivots and (rows["n"] > WINDOW + 1).any() else []:
             if rows["n"][lo] > WINDOW + 1:
                 region = Region(rows[lo:hi])
                 for i in region.pivots():
@@ -210,6 +211,11 @@ def candidates(batches: Iterable[pa.RecordBatch], threshold: float, carried: int
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
 
+def regions_of(depth: int, trees: int) -> Column:
+    """The region of each order of a deeper forest, from the signature ``sig``."""
+    return F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.xxhash64(t, F.substring(F.col("sig"), t * depth + 1, F.lit(depth))))
+
+
 def members_of(rows: DataFrame, depth: int, carried: int) -> DataFrame:
     """region, n, node, n_shingles, component, levels of ``rows`` (node, n_shingles, component, sig, own) in every order;
     regions within one component are left out."""
@@ -220,11 +226,11 @@ def members_of(rows: DataFrame, depth: int, carried: int) -> DataFrame:
     return placed.join(rows.select("node", "n_shingles", "component", "sig"), "node").select(*MEMBER, levels.alias("levels"))
 
 
-def meet(members: DataFrame, threshold: float, carried: int) -> DataFrame:
+def meet(members: DataFrame, threshold: float, carried: int, pivots: bool) -> DataFrame:
     """Candidate pairs of all regions. Those compared whole are dealt by region; a dense one may lie in many tasks."""
     small, dense = members.filter(F.col("n") <= WINDOW + 1), members.filter(F.col("n") > WINDOW + 1)
     dense = dense.repartitionByRange("region", "levels").sortWithinPartitions("region", "levels")
-    run = lambda it: candidates(it, threshold, carried)
+    run = lambda it: candidates(it, threshold, carried, pivots)
     return sh.dealt(small, "region", order=("levels",)).mapInArrow(run, "a long, b long").union(dense.mapInArrow(run, "a long, b long")).distinct()
 
 
@@ -236,7 +242,7 @@ def open_regions(dense: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
     blocks = lambda n, s: F.greatest(F.ceil(n / BLOCK), F.ceil(s / BLOCK_SHINGLES)).cast("int")
     strays = F.col("rows") - F.col("m.n")
     return sh.materialise(
-        shapes.select("region", F.col("m.component").alias("main"), blocks(strays, F.col("total") - F.col("m.s")).alias("askers"), blocks(F.col("rows"), F.col("total")).alias("all"), (F.lit(last) | (strays <= STRAYS)).alias("direct")), "open"
+        shapes.select("region", F.col("m.component").alias("main"), blocks(strays, F.col("total") - F.col("m.s")).alias("askers"), blocks(F.col("rows"), F.col("total")).alias("all"), (F.lit(last) | (strays <= BLOCK)).alias("direct")), "open"
     )
 
 
@@ -371,7 +377,7 @@ def forest(reps: DataFrame, percent: int, sets_of: Callable[[DataFrame], DataFra
     for depth in steps:
         trees, last = orders(depth, threshold), depth == steps[-1]
         members = sh.materialise(members_of(rows, depth, carried), "members")
-        pairs = meet(members, threshold, carried)
+        pairs = meet(members, threshold, carried, depth == steps[0])
         pairs = sh.materialise(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
         dense = members.filter(F.col("n") > WINDOW + 1)
         if sets is None:  # rows of later rounds are among these
@@ -383,14 +389,15 @@ def forest(reps: DataFrame, percent: int, sets_of: Callable[[DataFrame], DataFra
             cells = blocks_of(dense, shapes).join(labelled(rows.select("node", "n_shingles", "sig", "own"), labels), "node").join(sets, "node")
             cells = cells.select("region", "i", "j", "node", "n_shingles", "component", "main", "asks", "told", F.col("sig").alias("levels"), "own", "body")
             more = sh.dealt(cells, "region", "i", "j").mapInArrow(lambda it, t=trees: compare_blocks(it, percent, size, t), "a long, b long")
-            labels = join_links(labels, sh.materialise(more.distinct(), "more"))
+            more = sh.materialise(more, "more")
+            labels = labels if more.isEmpty() else join_links(labels, more)
         if last or shapes.filter("NOT direct").isEmpty():
             return labels
         tested = pairs if tested is None else tested.union(pairs)
         deeper = dense.join(shapes.filter("NOT direct").select("region"), "region").select("node").distinct()
         after = steps[steps.index(depth) + 1]
-        own = F.transform(F.sequence(F.lit(0), F.lit(orders(after, threshold) - 1)), lambda t, d=after: F.xxhash64(t, F.substring(F.col("sig"), t * d + 1, F.lit(d))))
-        rows = sh.materialise(labelled(reps.select("node", "n_shingles", "sig").join(deeper, "node"), labels).withColumn("own", own), "deeper")
+        rows = labelled(reps.select("node", "n_shingles", "sig").join(deeper, "node"), labels).withColumn("own", regions_of(after, orders(after, threshold)))
+        rows = sh.materialise(rows, "deeper")
     return labels
 
 

@@ -99,9 +99,7 @@ def test_near_links_of_a_template_in_dense_regions(spark, monkeypatch):
     inner_members, inner_blocks = near_dup.members_of, near_dup.blocks_of
     monkeypatch.setattr(near_dup, "members_of", lambda rows, depth, carried: (rounds.append(depth), inner_members(rows, depth, carried))[1])
     monkeypatch.setattr(near_dup, "blocks_of", lambda members, shapes: (asked.append(shapes.filter("direct").count()), inner_blocks(members, shapes))[1])
-    # limits that the driver uses in plans; so many rows are beyond STRAYS at the first depths, and blocks are cut
-    monkeypatch.setattr(near_dup, "STRAYS", 8)
-    monkeypatch.setattr(near_dup, "BLOCK", 64)
+    monkeypatch.setattr(near_dup, "BLOCK", 64)  # used in plans alone: many rows are beyond a block at the first depths
     got = near_dup.near_duplicates(docs(spark, texts), percent=80).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
     assert len(rounds) >= 2 and sum(asked) > 0
@@ -123,7 +121,7 @@ def test_neighbours_share_the_longest_prefixes():
     def run(n):
         levels = np.sort(rng.integers(0, 4, (n, 128)).astype(np.uint8).view("S128").ravel()).view(np.uint8).reshape(n, 128)
         columns = {"region": [7] * n, "n": [n] * n, "node": list(range(n)), "n_shingles": [9] * n, "component": list(range(n)), "levels": [x.tobytes() for x in levels]}
-        out = list(near_dup.candidates(pa.table(columns).to_batches(max_chunksize=5), 0.16, 128))
+        out = list(near_dup.candidates(pa.table(columns).to_batches(max_chunksize=5), 0.16, 128, True))
         return {(a, b) for x in out for a, b in zip(x["a"].to_pylist(), x["b"].to_pylist())}
 
     few = run(near_dup.WINDOW + 1)

@@ -11,8 +11,12 @@ original vectors, and the shards' best are merged.
 Equal vectors are one node that lists the ``top + 1`` smallest identifiers: enough for the nearest of any
 query, its own row aside, so copies neither crowd a graph nor a result.
 
-Edge cases: vectors that are null, empty, zero, or hold null or non-finite components (or whose
-squares overflow) take no part; only vectors of a query's own length are candidates; with fewer
+A shard holds as many vectors as spread all of them over the cluster's tasks, but SHARD_LEAST at least,
+for small graphs find no faster, and SHARD_MOST at most, which bounds a graph's memory. Each graph is built by a
+task of its own and searched by one; queries of several shards meet it in blocks.
+
+Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part; all
+others do, for each is scaled by a power of two before its squares are summed; only vectors of a query's own length are candidates; with fewer
 candidates all are returned; ties go to the smaller identifier; repeated rows count once; an empty table
 gives an empty table.
 """
@@ -23,12 +27,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _shared as sh
 
-WIDTH, BUILD_WIDTH, SEARCH_WIDTH, SHARD_ROWS, BLOCK = 16, 64, 96, 8192, 256
+WIDTH, BUILD_WIDTH, SEARCH_WIDTH, BLOCK = 16, 64, 96, 256
+SHARD_LEAST, SHARD_MOST = 8192, 131_072
 
 
 def pick(candidates: np.ndarray, near: np.ndarray, unit: np.ndarray, width: int) -> np.ndarray:
@@ -156,24 +162,30 @@ class Graph:
         while done < len(order):
             batch = order[done : done + min(512, max(16, done))]
             done += len(batch)
+            met = []  # on every level before any is linked, so that no way leads to a node without links below
             for level in range(int(g.levels[batch].max()), -1, -1):
                 own = batch[g.levels[batch] >= level]
-                start = g.descend(unit[own], level)
-                ids, near = g.search(unit[own], start, level, BUILD_WIDTH)
-                g.link(own, level, ids, near)
+                met.append((own, level, *g.search(unit[own], g.descend(unit[own], level), level, BUILD_WIDTH)))
+            for step in met:
+                g.link(*step)
         return g
 
 
 def usable(v: Column) -> Column:
-    """Neither null, empty nor zero, all components finite, and squares that can be summed."""
+    """Neither null, empty nor zero, and all components finite."""
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    norm = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
-    return F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite & (norm > 0) & (norm < float("inf")), F.lit(False))
+    return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
+    """The vectors, each times the power of two that brings its largest component to 0.5 to 1: cosines stay
+    what they are, to the last bit, and squares neither vanish nor overflow."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
+    return scaled(flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1))
+
+
+def scaled(v: np.ndarray) -> np.ndarray:
+    return np.ldexp(v, -np.frexp(np.abs(v).max(1, initial=0))[1][:, None])
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -181,42 +193,60 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
-def nearest(df: DataFrame, queries: Column, top: int = 5, key: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """query_id, rank, vec_id, score: for each row that ``queries`` selects its ``top`` nearest other rows."""
+def shard_sizes(nodes: DataFrame, shard_rows: int | None) -> dict[int, int]:
+    """Shards of each vector length (a row a length)."""
+    tasks = nodes.sparkSession.sparkContext.defaultParallelism
+    counts = dict(nodes.groupBy(F.size("v")).count().collect())
+    rows = shard_rows or min(SHARD_MOST, max(SHARD_LEAST, -(-sum(counts.values()) // tasks)))
+    return {n: -(-c // rows) for n, c in counts.items()}
+
+
+def nearest(df: DataFrame, queries: Column, top: int = 5, key: str = "vec_id", vector: str = "embedding", shard_rows: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: for each row that ``queries`` selects its ``top`` nearest other rows.
+
+    ``shard_rows``: vectors of a shard, if it is not to follow the cluster's size."""
     clean = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("asks")).filter(F.col("id").isNotNull()).filter(usable(F.col("v")))
     clean = sh.materialise(clean, "vectors")
     # copies: the smallest identifiers are ranked before the shuffle too
     ranked = clean.select("v", "id").distinct().withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).filter(F.col("r") <= top + 1)
     nodes = sh.materialise(ranked.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "nodes")
-    sizes = {n: -(-c // shard_rows) for n, c in nodes.groupBy(F.size("v")).count().collect()}  # a row a vector length
-    shards = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]) if sizes else F.create_map(F.lit(0), F.lit(1))
-    shard = F.struct(F.size("v").alias("dim"), F.pmod(F.xxhash64("v"), shards[F.size("v")]).alias("no"))
-
-    def build(key_: tuple, table: pa.Table) -> pa.Table:
-        v = matrix(table["v"].combine_chunks())
-        unit = (v / np.sqrt((v * v).sum(1))[:, None]).astype(np.float32)
-        g = Graph.build(unit)
-        return pa.table(
-            {
-                "dim": pa.array([v.shape[1]], pa.int32()),
-                "no": pa.array([key_[1].as_py()], pa.int64()),
-                "body": pa.array([v.tobytes()], pa.binary()),
-                "ids": pa.array([table["ids"].to_pylist()], pa.list_(pa.list_(pa.int64()))),
-                "levels": pa.array([g.levels.tolist()], pa.list_(pa.int64())),
-                "links": pa.array([[x.tobytes() for x in g.links]], pa.list_(pa.binary())),
-                "entry": pa.array([g.entry], pa.int64()),
-            }
-        )
-
-    schema = "dim int, no long, body binary, ids array<array<long>>, levels array<long>, links array<binary>, entry long"
-    index = sh.materialise(nodes.withColumn("shard", shard).select("shard.dim", "shard.no", "v", F.col("ids").cast("array<long>").alias("ids")).groupBy("dim", "no").applyInArrow(build, schema), "index")
+    sizes = shard_sizes(nodes, shard_rows)
+    before = dict(zip(sizes, np.cumsum([0, *sizes.values()]).tolist(), strict=False))  # shards are numbered over all lengths
+    tasks = max(1, sum(sizes.values()))
+    of = lambda table: F.create_map(*[F.lit(x) for pair in (table or {0: 0}).items() for x in pair])[F.size("v")]
+    shard = (of(before) + F.pmod(F.xxhash64("v"), of(sizes))).cast("int")
+
+    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        for no in np.unique(table["no"].to_numpy()).tolist():
+            own = table.filter(pc.equal(table["no"], no))
+            v = matrix(own["v"].combine_chunks())
+            g = Graph.build((v / np.sqrt((v * v).sum(1))[:, None]).astype(np.float32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([no], pa.int32()),
+                    pa.array([v.shape[1]], pa.int32()),
+                    pa.array([v.tobytes()], pa.binary()),
+                    pa.array([own["ids"].to_pylist()], pa.list_(pa.list_(pa.int64()))),
+                    pa.array([g.levels.astype(np.int8).tobytes()], pa.binary()),
+                    pa.array([[x.tobytes() for x in g.links]], pa.list_(pa.binary())),
+                    pa.array([g.entry], pa.int64()),
+                ],
+                ["no", "dim", "body", "ids", "levels", "links", "entry"],
+            )
+
+    schema = "no int, dim int, body binary, ids array<array<long>>, levels binary, links array<binary>, entry long"
+    members = nodes.select(shard.alias("no"), "v", F.col("ids").cast("array<long>").alias("ids"))
+    index = sh.materialise(members.repartitionById(tasks, "no").mapInArrow(build, schema), "index")
 
     asked = clean.filter("asks").select("id", "v").distinct()
-    count = F.coalesce(shards[F.size("v")], F.lit(0))
-    sent = asked.filter(count > 0).select(F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), (count - 1).cast("long"))).alias("no"), "id", "v")
-    nothing = {"body": "binary", "ids": "array<array<long>>", "levels": "array<long>", "links": "array<binary>", "entry": "long"}
-    both = index.select("*", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("v")).unionByName(sent.select("dim", "no", *[F.lit(None).cast(t).alias(n) for n, t in nothing.items()], "id", "v"))
-    stream = sh.dealt(both.withColumn("asks", F.col("id").isNotNull()), "dim", "no", order=("asks",))
+    sent = asked.filter(of(sizes) > 0).select(F.explode(F.sequence(of(before), of(before) + of(sizes) - 1)).alias("no"), "id", "v")
+    nothing = {"dim": "int", "body": "binary", "ids": "array<array<long>>", "levels": "binary", "links": "array<binary>", "entry": "long"}
+    both = index.select("*", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("v")).unionByName(sent.select("no", *[F.lit(None).cast(t).alias(n) for n, t in nothing.items()], "id", "v"))
+    stream = both.withColumn("asks", F.col("id").isNotNull()).repartitionById(tasks, "no").sortWithinPartitions("no", "asks")
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph, vectors, members = None, None, None
@@ -229,7 +259,7 @@ def nearest(df: DataFrame, queries: Column, top: int = 5, key: str = "vec_id", v
                 if i in heads:
                     r = b.slice(i, 1).to_pylist()[0]
                     vectors = np.frombuffer(r["body"], np.float64).reshape(-1, r["dim"])
-                    graph = Graph((vectors / np.sqrt((vectors * vectors).sum(1))[:, None]).astype(np.float32), np.array(r["levels"]))
+                    graph = Graph((vectors / np.sqrt((vectors * vectors).sum(1))[:, None]).astype(np.float32), np.frombuffer(r["levels"], np.int8).astype(np.int64))
                     graph.links = [np.frombuffer(x, np.int32).reshape(y.shape) for x, y in zip(r["links"], graph.links, strict=True)]
                     graph.entry, members = r["entry"], r["ids"]
                     i += 1

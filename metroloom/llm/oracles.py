@@ -64,4 +64,15 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op8_sharding": """
+        WITH steps AS (SELECT list_transform(range(256), lambda c: list_reduce(range(8), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, c)) AS t),
+        docs AS (SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, sha256(coalesce(text, '')) AS digest,
+                        list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS bytes FROM documents),
+        crcs AS (SELECT doc_id, size, digest, xor(list_reduce(bytes, lambda a, v: xor(a >> 8, t[(xor(a, v) & 255) + 1]), 4294967295), 4294967295) AS text_crc32 FROM docs, steps),
+        placed AS (SELECT *, sum(size) OVER (ORDER BY digest, doc_id ROWS UNBOUNDED PRECEDING) - size AS before, row_number() OVER (ORDER BY digest, doc_id) AS place, sum(size) OVER () AS total FROM crcs),
+        cut AS (SELECT *, least((2 * before + size) * 24 // (2 * total), 23) AS part FROM placed),
+        whole AS (SELECT digest, min(part) AS home FROM cut GROUP BY digest HAVING min(part) < max(part) AND sum(size) <= max(total) * (0.01 / 24)),
+        dealt AS (SELECT cut.*, coalesce(home, part)::INT AS shard FROM cut LEFT JOIN whole USING (digest))
+        SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, place - min(place) OVER (PARTITION BY shard) AS slot, NULL::INT AS grown_shard FROM dealt
+    """,
 }

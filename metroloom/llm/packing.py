@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.prefix import with_prefix
 from . import _shared as sh
 from .bpe import codec
-from .sharding import with_prefix
 
 
 def combinations(lengths: np.ndarray, window: int) -> np.ndarray:

@@ -58,6 +58,21 @@ def test_exact_drop_keeps_one_of_each_text(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [1, 4, 5]
 
 
+def test_exact_rounds_merge_sorted_runs(spark):
+    """One exchange brings the runs together; each round after it is a sort and a pass over neighbours, without an exchange."""
+    entries = spark.createDataFrame([(i % 64, b"d%d" % (i % 9), "c", i, 1) for i in range(500)], "run int, digest binary, check string, doc_id bigint, rows bigint").groupBy("run", "digest", "check").agg({"doc_id": "max", "rows": "sum"})
+    entries = entries.select("run", "digest", "check", entries["max(doc_id)"].alias("doc_id"), entries["sum(rows)"].alias("rows"))
+    merged = exact_dedup.merge_tree(entries, "doc_id", "largest", 64, 2)
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("HashAggregate")[0]
+    assert plan.count("Window [") == 6 and plan.count("Exchange") == 1 and plan.count("Sort [") >= 6
+    assert sorted((bytes(r["digest"]), r["doc_id"], r["rows"]) for r in merged.collect()) == sorted((b"d%d" % k, max(range(k, 500, 9)), len(range(k, 500, 9))) for k in range(9))
+
+
+def test_exact_drop_of_an_identifier_with_two_texts(spark):
+    df = docs(spark, ["a", "b"]).union(docs(spark, ["b"]))  # 0: a, 1: b, 0: b
+    assert sorted((r["doc_id"], r["text"]) for r in exact_dedup.drop_duplicates(df).collect()) == [(0, "a"), (1, "b")]
+
+
 def family(rng, base, edits):
     w = base.split()
     for _ in range(edits):

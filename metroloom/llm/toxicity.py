@@ -3,10 +3,11 @@
 Positives are texts confirmed as toxic; unlabelled texts are any others, toxic or not. The risk of a
 classifier f at class prior p is p R+(f) + max(0, Ru-(f) - p Rp-(f)): the last term, the part of
 the unlabelled risk that true negatives cause, is never negative in truth, so where a step makes it
-negative (by more than SLACK) the step goes back up that term instead. Several linear classifiers over hashed words, each
-trained in numpy on its own draw of unlabelled texts, are averaged. A word has a weight only if the
-corrected risk's slope in it, before anything is learned, is beyond three deviations of chance. Only rows outside the held-out fold are learned from; inputs of a score are the words of the
-whole text alone.
+negative the step goes back up that term instead. Several linear classifiers over hashed words, each
+trained in numpy on its own draw of unlabelled texts, are averaged. Features are words and beginnings of
+words. One has a weight only if the corrected risk's slope in it, before anything is learned, is beyond six
+deviations of chance, and if five positives and one in a hundred of them have it. Only rows outside the held-out fold are learned from; inputs of a score are the words of
+the whole text alone.
 
 The training sample is bounded by MAX_POSITIVE and MAX_UNLABELLED (drawn by a hash of the text's
 identifier); everything else covers all rows.
@@ -31,7 +32,9 @@ from .words import SIGNS, word_parts
 BITS = 20
 PREFIXES = (3, 4, 5, 6)
 MAX_POSITIVE, MAX_UNLABELLED = 2500, 7000
-MEMBERS, EPOCHS, BATCH, RATE, RIDGE, SLACK = 3, 40, 512, 0.05, 1e-4, 0.1
+MEMBERS, EPOCHS, BATCH, RATE, RIDGE = 6, 120, 512, 0.05, 1e-4
+#: A feature takes part if its slope is beyond so many deviations, and so many positives and such a share of them have it.
+DEVIATIONS, LEAST, SHARE = 6, 5, 0.01
 
 
 def held_out(key: Column) -> Column:
@@ -100,7 +103,7 @@ def fit(positive: Sparse, unlabelled: Sparse, prior: float, seed: int) -> tuple[
     in_p, in_u = positive.counts(size), unlabelled.counts(size)
     # slope of the risk at zero weights, over the prior: unlabelled texts push, positives pull
     share = np.maximum(in_u, 1) / n_u
-    usable = (np.abs(in_p / n_p - in_u / n_u) > 6 * np.sqrt(share * (1 - share) / n_p)) & (in_p >= max(5, 0.01 * n_p))
+    usable = (np.abs(in_p / n_p - in_u / n_u) > DEVIATIONS * np.sqrt(share * (1 - share) / n_p)) & (in_p >= max(LEAST, SHARE * n_p))
     table = np.full(size, -1)
     kept = np.flatnonzero(usable)
     table[kept] = np.arange(len(kept))
@@ -117,7 +120,7 @@ def fit(positive: Sparse, unlabelled: Sparse, prior: float, seed: int) -> tuple[
             zu = b + np.bincount(ur, w[uf], len(u))
             sp, su = sigmoid(zp), sigmoid(zu)
             negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            if negative >= -SLACK:
+            if negative >= 0:
                 gp, gu = (prior * (sp - 1) - prior * sp) / len(p), su / len(u)
             else:  # back up the corrected term
                 gp, gu = prior * sp / len(p), -su / len(u)

@@ -88,10 +88,10 @@ def word_parts(column: pa.Array, parts: np.ndarray, prefixes: tuple[int, ...]) -
     hashed alone."""
     data, offsets = text_bytes(column)
     out, at = [], []
-    lo, n = 0, len(data)
-    while lo < n:
-        hi = min(n, lo + WINDOW)
-        if hi < n:
+    lo, end = 0, len(data)
+    while lo < end:
+        hi = min(end, lo + WINDOW)
+        if hi < end:
             gaps = np.flatnonzero(parts[data[lo:hi]])
             rows = offsets[np.searchsorted(offsets, hi, side="right") - 1]
             cut = max(lo + gaps[-1] + 1 if len(gaps) else lo, int(rows))

@@ -175,6 +175,9 @@ def test_words_sets_and_estimates():
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(400)] + ["", "a" * 3_000_000 + " b", "q " * 700_000]
     sets = words.shingle_sets(*words.word_hashes(pa.array(texts)))
     assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
+    together, counts = words.word_parts(pa.array(texts), words.SIGNS, (3, 6))  # through several windows
+    alone = [words.word_parts(pa.array([t]), words.SIGNS, (3, 6)) for t in texts]
+    assert counts.tolist() == [int(n[0]) for _, n in alone] and (together == np.concatenate([h for h, _ in alone], 1)).all()
     w = ["w%d" % i for i in range(1000)]
     pair = words.shingle_sets(*words.word_hashes(pa.array([" ".join(w), " ".join(w[100:])])))
     sig = words.signatures(pair, 480)

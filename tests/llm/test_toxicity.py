@@ -1,6 +1,8 @@
 import random
 import zlib
 
+import numpy as np
+
 from metroloom.llm import toxicity
 
 from .conftest import docs
@@ -45,3 +47,29 @@ def test_without_positives_and_without_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert [r["predicted"] for r in toxicity.toxicity(df, none).collect()] == [0, 0]
     assert toxicity.toxicity(df.limit(0), none).count() == 0
+
+
+def test_steps_follow_the_corrected_risk(monkeypatch):
+    """One batch an epoch: each step is that of Adam on the non-negative risk, written out term by term."""
+    rng = np.random.default_rng(4)
+    positive_x, unlabelled_x = rng.random((40, 6)) < 0.6, rng.random((60, 6)) < 0.3
+    sparse = lambda x: toxicity.Sparse(np.nonzero(x)[1], np.cumsum(x.sum(1)) - x.sum(1), x.sum(1))
+    for name, value in {"BITS": 3, "EPOCHS": 80, "BATCH": 60, "DEVIATIONS": -1, "SHARE": 0.0}.items():
+        monkeypatch.setattr(toxicity, name, value)
+    prior, corrected = 0.7, 0
+    w, b = toxicity.fit(sparse(positive_x), sparse(unlabelled_x), prior, 7)
+    draw = np.random.default_rng(7)
+    theta, m, v = np.append(np.zeros(6), np.log(prior / (1 - prior))), np.zeros(7), np.zeros(7)
+    for t in range(1, 81):
+        order = draw.permutation(60)
+        p, u = np.c_[positive_x[draw.integers(0, 40, 40)], np.ones(40)], np.c_[unlabelled_x[order], np.ones(60)]
+        s = lambda x: 1 / (1 + np.exp(-x @ theta))
+        rest = -np.log(1 - s(u)).mean() + prior * np.log(1 - s(p)).mean()  # R_u of class 0, less the prior's share
+        grad_rest = (s(u)[:, None] * u).mean(0) - prior * (s(p)[:, None] * p).mean(0)
+        grad = prior * ((s(p) - 1)[:, None] * p).mean(0) + grad_rest if rest >= 0 else -grad_rest
+        corrected += rest < 0
+        grad = grad + np.append(toxicity.RIDGE * theta[:-1], 0)
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        theta = theta - toxicity.RATE * np.sqrt(1 - 0.999**t) / (1 - 0.9**t) * m / (np.sqrt(v) + 1e-6)
+    assert np.allclose(np.append(w[:6], b), theta, atol=1e-9)
+    assert corrected

@@ -3,49 +3,61 @@
 
 from __future__ import annotations
 
+import itertools
+from collections import deque
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m
-from .radius import near_cells, own_cell, cell_sizes
+from ..plans.scratch import dealt
+from .radius import near_cells, own_cell
 
 #: How far a stop may lie beside the track (metres); detour over an unmapped gap; bands.
 MAX_SNAP_M, GAP_DETOUR = 400.0, 1.08
 LENGTH_BAND, LENGTH_FLOOR = 1.02, 0.9
 
 
-def stitched(ways: Column) -> Column:
-    """array<array<bigint>> of chains from an ordered array of ways' node arrays (G1): a fold in the JVM.
+def join_ways(ways: Iterable[list[int]]) -> list[list[int]]:
+    """Chains of an ordered run of ways (G1).
 
     A way joins at the chain's end, then reversed at the end, then at its front, then reversed at the
-    front; one that fits nowhere begins a new chain. Ways of fewer than two nodes are left out."""
-    none = F.array().cast("array<bigint>")
-    state = F.struct(F.array().cast("array<array<bigint>>").alias("done"), none.alias("cur"))
-
-    def step(s: Column, w: Column) -> Column:
-        cur, n = s["cur"], F.size(w)
-        back = F.reverse(w)
-        head, tail = F.get(cur, F.lit(0)), F.get(cur, F.size(cur) - 1)
-        keep = lambda c: F.struct(s["done"].alias("done"), c.alias("cur"))
-        grown = (
-            F.when(F.size(cur) == 0, keep(w))
-            .when(w[0] == tail, keep(F.concat(cur, F.slice(w, 2, n))))
-            .when(back[0] == tail, keep(F.concat(cur, F.slice(back, 2, n))))
-            .when(back[0] == head, keep(F.concat(F.slice(w, 1, n - 1), cur)))
-            .when(w[0] == head, keep(F.concat(F.slice(back, 1, n - 1), cur)))
-        )
-        return grown.otherwise(F.struct(F.concat(s["done"], F.array(cur)).alias("done"), w.alias("cur")))
-
-    usable = F.filter(ways, lambda w: F.size(w) >= 2)
-    return F.aggregate(usable, state, step, lambda s: F.filter(F.concat(s["done"], F.array(s["cur"])), lambda c: F.size(c) >= 2))
+    front; one that fits nowhere begins a new chain. Ways of fewer than two nodes are left out. A chain grows
+    at both ends of a queue, so the work is that of reading the nodes."""
+    chains: list[deque[int]] = []
+    for way in ways:
+        if way is None or len(way) < 2:
+            continue
+        chain = chains[-1] if chains else None
+        if chain is not None and chain[-1] in (way[0], way[-1]):
+            chain.extend((way if way[0] == chain[-1] else way[::-1])[1:])
+        elif chain is not None and chain[0] in (way[0], way[-1]):
+            chain.extendleft((way if way[0] == chain[0] else way[::-1])[1:])
+        else:
+            chains.append(deque(way))
+    return [list(c) for c in chains]
 
 
 def stitch(members: DataFrame, ways: DataFrame) -> DataFrame:
-    """(line_id, chain, pos, node_id) of each line's way members in member order; unknown ways are left out."""
-    known = members.join(ways.select(F.col("way_id"), F.col("nodes")), "way_id")
-    rows = F.transform(F.sort_array(F.collect_list(F.struct("pos", "nodes"))), lambda r: r["nodes"])
-    chains = known.groupBy("line_id").agg(rows.alias("ways")).select("line_id", F.posexplode(stitched(F.col("ways"))).alias("chain", "nodes"))
-    return chains.select("line_id", "chain", F.posexplode("nodes").alias("pos", "node_id"))
+    """(line_id, chain, pos, node_id) of each line's way members in member order; unknown ways are left out.
+
+    A line's ways pass in order through one task, which holds that line alone."""
+    kind = members.schema["line_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+
+        for line, group in itertools.groupby(rows(), key=lambda r: r[0]):
+            for k, chain in enumerate(join_ways(w for _, w in group)):
+                n = len(chain)
+                yield pa.RecordBatch.from_arrays([pa.array([line] * n), pa.array([k] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(chain, pa.int64())], ["line_id", "chain", "pos", "node_id"])
+
+    known = members.select("line_id", "pos", "way_id").join(ways.select("way_id", F.col("nodes").cast("array<bigint>").alias("nodes")), "way_id")
+    return dealt(known, "line_id", order=("pos",)).select("line_id", "nodes").mapInArrow(run, f"line_id {kind}, chain int, pos int, node_id bigint")
 
 
 def cumulative(chains: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -67,9 +79,8 @@ def locate(stops: DataFrame, chains: DataFrame) -> DataFrame:
     hit = stops.select("line_id", "idx", "node_id").join(chains.select("line_id", "node_id", "chain", "pos", "cum_m"), ["line_id", "node_id"])
     exact = hit.groupBy("line_id", "idx").agg(F.min(F.struct("chain", "pos", "cum_m")).alias("e"))
     off = stops.join(exact, ["line_id", "idx"], "left_anti").filter("lat IS NOT NULL AND lon IS NOT NULL")
-    high, wide = cell_sizes(chains, "lat", MAX_SNAP_M)
-    probes = off.select("line_id", "idx", F.col("lat").alias("slat"), F.col("lon").alias("slon"), near_cells(F.col("lat"), F.col("lon"), high, wide).alias("c")).select("line_id", "idx", "slat", "slon", "c.cy", "c.cx")
-    track = chains.filter("lat IS NOT NULL AND lon IS NOT NULL").select("line_id", "chain", "pos", "cum_m", "lat", "lon", *own_cell(F.col("lat"), F.col("lon"), high, wide))
+    probes = off.select("line_id", "idx", F.col("lat").alias("slat"), F.col("lon").alias("slon"), near_cells(F.col("lat"), F.col("lon"), MAX_SNAP_M).alias("c")).select("line_id", "idx", "slat", "slon", "c.cy", "c.cx")
+    track = chains.filter("lat IS NOT NULL AND lon IS NOT NULL").select("line_id", "chain", "pos", "cum_m", "lat", "lon", *own_cell(F.col("lat"), F.col("lon"), MAX_SNAP_M))
     near = probes.join(track, ["line_id", "cy", "cx"]).withColumn("d", haversine_m(F.col("slat"), F.col("slon"), F.col("lat"), F.col("lon"))).filter(F.col("d") <= MAX_SNAP_M)
     snapped = near.groupBy("line_id", "idx").agg(F.min(F.struct("d", "chain", "pos", "cum_m")).alias("s"))
     both = stops.join(exact, ["line_id", "idx"], "left").join(snapped, ["line_id", "idx"], "left")

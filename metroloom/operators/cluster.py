@@ -23,12 +23,12 @@ def merge_edges(stops: DataFrame) -> DataFrame:
 def forced_edges(stops: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs inside curated (norm, operator) groups within the group's own wider radius.
 
-    Groups are curated rows, so the pairs inside them are few."""
+    Pairs within the widest radius come from the grid; each group then keeps those within its own."""
     g = groups.select("norm", "operator", F.col("max_spread_m").cast("double").alias("max_spread_m"))
-    inside = stops.join(F.broadcast(g), ["norm", "operator"]).select("norm", "operator", "ord", "lat", "lon", "max_spread_m")
-    other = inside.select("norm", "operator", F.col("ord").alias("b"), F.col("lat").alias("blat"), F.col("lon").alias("blon"))
-    near = inside.join(other, ["norm", "operator"]).filter("ord < b").filter(haversine_m(F.col("lat"), F.col("lon"), F.col("blat"), F.col("blon")) <= F.col("max_spread_m"))
-    return near.select("norm", "operator", F.col("ord").alias("a"), "b")
+    widest = g.agg(F.max("max_spread_m")).first()[0] or 0.0  # of a curated table
+    inside = stops.join(F.broadcast(g.select("norm", "operator")), ["norm", "operator"], "left_semi")
+    near = pairs_within(inside, widest or 1.0, "ord", equal=("norm", "operator"), keep=True)
+    return near.join(F.broadcast(g), ["norm", "operator"]).filter("distance_m <= max_spread_m").select("norm", "operator", "a", "b")
 
 
 def label(stops: DataFrame, edges: DataFrame) -> DataFrame:
@@ -55,11 +55,22 @@ def cluster_stops(stops: DataFrame, groups: DataFrame | None = None) -> tuple[Da
 
 
 def spread(members: DataFrame) -> DataFrame:
-    """Largest pairwise distance in each station (A8), 0 for one member."""
-    one = members.select("station_id", "ord", "lat", "lon")
-    two = one.select("station_id", F.col("ord").alias("o2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    far = one.join(two, "station_id").filter("ord < o2").groupBy("station_id").agg(F.max(haversine_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))).alias("far"))
-    return members.select("station_id").distinct().join(far, "station_id", "left").select("station_id", F.coalesce("far", F.lit(0.0)).alias("spread_m"))
+    """Largest pairwise distance in each station (A8), 0 for one member.
+
+    Only rows that can end the longest line are paired: with r a row's distance from the station's mean place and
+    R the largest r, no pair of the row is longer than r + R, and the longest is at least that from the row
+    at R to the row farthest from it."""
+    at = lambda a, b: haversine_m(F.col(f"{a}.lat"), F.col(f"{a}.lon"), F.col(f"{b}.lat"), F.col(f"{b}.lon"))
+    one = members.select("station_id", "ord", F.struct("lat", "lon").alias("p"))
+    mean = one.groupBy("station_id").agg(F.struct(F.avg("p.lat").alias("lat"), F.avg("p.lon").alias("lon")).alias("c"))
+    placed = one.join(mean, "station_id").withColumn("r", at("p", "c")).drop("c")
+    outer = placed.groupBy("station_id").agg(F.max("r").alias("most"), F.max_by("p", F.struct("r", "ord")).alias("q"))
+    placed = placed.join(outer, "station_id").withColumn("d", at("p", "q")).drop("q")
+    least = placed.groupBy("station_id").agg(F.max("d").alias("least"))
+    ends = placed.join(least, "station_id").filter(F.col("r") + F.col("most") >= F.col("least") - 1e-3).select("station_id", "ord", "p")
+    two = ends.select("station_id", F.col("ord").alias("other"), F.col("p").alias("q"))
+    far = ends.join(two, "station_id").filter("ord < other").groupBy("station_id").agg(F.max(at("p", "q")).alias("far"))
+    return least.join(far, "station_id", "left").select("station_id", F.coalesce("far", F.lit(0.0)).alias("spread_m"))
 
 
 def distinct_in_order(values: str, order: str = "ord") -> F.Column:

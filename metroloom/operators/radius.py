@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,38 +11,55 @@ from ..functions.geo import haversine_m
 METRES_A_DEGREE = 111_000.0
 
 
-def cell_sizes(df: DataFrame, lat: str, radius_m: float) -> tuple[float, float]:
-    """Cell height and width in degrees, sound up to the largest latitude in the data (one aggregate)."""
-    most = df.agg(F.max(F.abs(F.col(lat)))).first()[0] or 0.0
+def row_of(lat: Column, radius_m: float) -> Column:
+    """Rows of cells are as high as the radius."""
+    return F.floor(lat / (radius_m / METRES_A_DEGREE))
+
+
+def cells_round(row: Column, radius_m: float) -> Column:
+    """Cells of a row round the globe: as wide as the radius at the row's or a neighbour's latitude farthest
+    from the equator, so a row near a pole has few and no other row is the wider for it."""
     high = radius_m / METRES_A_DEGREE
-    return high, high / max(math.cos(math.radians(min(most, 89.9))), 1e-6)
+    most = F.greatest(F.abs(row - 1), F.abs(row + 2)) * high
+    wide = high / F.cos(F.radians(F.least(most, F.lit(89.9))))
+    return F.when(most >= 89.9, F.lit(1)).otherwise(F.greatest(F.floor(360 / wide), F.lit(1))).cast("bigint")
+
+
+def column_of(lon: Column, n: Column) -> Column:
+    return F.pmod(F.floor((lon + 180) / (360 / n)), n)
+
+
+def own_cell(lat: Column, lon: Column, radius_m: float) -> list[Column]:
+    row = row_of(lat, radius_m)
+    return [row.alias("cy"), column_of(lon, cells_round(row, radius_m)).alias("cx")]
 
 
-def own_cell(lat: Column, lon: Column, high: float, wide: float) -> list[Column]:
-    return [F.floor(lat / high).alias("cy"), F.floor(lon / wide).alias("cx")]
+def near_cells(lat: Column, lon: Column, radius_m: float) -> Column:
+    """The cells of three rows that can hold a point within the radius; beyond longitude 180 they go on at -180."""
 
+    def cells(y: int) -> Column:
+        row = row_of(lat, radius_m) + y
+        n = cells_round(row, radius_m)
+        x = column_of(lon, n)
+        return F.transform(F.array_distinct(F.array(*[F.pmod(x + d, n) for d in (-1, 0, 1)])), lambda c: F.struct(row.alias("cy"), c.alias("cx")))
 
-def near_cells(lat: Column, lon: Column, high: float, wide: float) -> Column:
-    """The cell of a point and its eight neighbours."""
-    y, x = F.floor(lat / high), F.floor(lon / wide)
-    return F.explode(F.array(*[F.struct((y + i).alias("cy"), (x + j).alias("cx")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    return F.explode(F.concat(*[cells(y) for y in (-1, 0, 1)]))
 
 
-def pairs_within(points: DataFrame, radius_m: float, key: str, lat: str = "lat", lon: str = "lon", equal: tuple[str, ...] = ()) -> DataFrame:
-    """(a, b, distance_m), a < b, of points at most ``radius_m`` apart (inclusive) that agree on ``equal``."""
-    high, wide = cell_sizes(points, lat, radius_m)
-    p = points.select(F.col(key).alias("a"), F.col(lat).alias("alat"), F.col(lon).alias("alon"), *equal, near_cells(F.col(lat), F.col(lon), high, wide).alias("c")).select("*", "c.cy", "c.cx").drop("c")
-    q = points.select(F.col(key).alias("b"), F.col(lat).alias("blat"), F.col(lon).alias("blon"), *equal, *own_cell(F.col(lat), F.col(lon), high, wide))
+def pairs_within(points: DataFrame, radius_m: float, key: str, lat: str = "lat", lon: str = "lon", equal: tuple[str, ...] = (), keep: bool = False) -> DataFrame:
+    """(a, b, distance_m), a < b, of points at most ``radius_m`` apart (inclusive) that agree on ``equal``; ``keep``: with those columns."""
+    p = points.select(F.col(key).alias("a"), F.col(lat).alias("alat"), F.col(lon).alias("alon"), *equal, near_cells(F.col(lat), F.col(lon), radius_m).alias("c")).select("*", "c.cy", "c.cx").drop("c")
+    q = points.select(F.col(key).alias("b"), F.col(lat).alias("blat"), F.col(lon).alias("blon"), *equal, *own_cell(F.col(lat), F.col(lon), radius_m))
     joined = p.join(q, [*equal, "cy", "cx"]).filter("a < b")
-    return joined.withColumn("distance_m", haversine_m(F.col("alat"), F.col("alon"), F.col("blat"), F.col("blon"))).filter(F.col("distance_m") <= radius_m).select("a", "b", "distance_m")
+    return joined.withColumn("distance_m", haversine_m(F.col("alat"), F.col("alon"), F.col("blat"), F.col("blon"))).filter(F.col("distance_m") <= radius_m).select(*(equal if keep else ()), "a", "b", "distance_m")
 
 
 def nearest_within(left: DataFrame, right: DataFrame, cap_m: float, left_key: str, right_key: str, order: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """(left_key, right_key, distance_m) for every left row: its nearest right row within the cap
-    (inclusive), the first by ``order`` among equals; nulls where there is none."""
-    high, wide = cell_sizes(left.select(lat).union(right.select(lat)), lat, cap_m)
-    p = left.select(F.col(left_key).alias("l"), F.col(lat).alias("alat"), F.col(lon).alias("alon"), near_cells(F.col(lat), F.col(lon), high, wide).alias("c")).select("l", "alat", "alon", "c.cy", "c.cx")
-    q = right.select(F.col(right_key).alias("r"), F.col(order).alias("o"), F.col(lat).alias("blat"), F.col(lon).alias("blon"), *own_cell(F.col(lat), F.col(lon), high, wide))
+    (inclusive), the first by ``order`` among equals; nulls where there is none. The right side, in general the
+    smaller, is laid out over its neighbour cells."""
+    p = left.select(F.col(left_key).alias("l"), F.col(lat).alias("alat"), F.col(lon).alias("alon"), *own_cell(F.col(lat), F.col(lon), cap_m))
+    q = right.select(F.col(right_key).alias("r"), F.col(order).alias("o"), F.col(lat).alias("blat"), F.col(lon).alias("blon"), near_cells(F.col(lat), F.col(lon), cap_m).alias("c")).select("r", "o", "blat", "blon", "c.cy", "c.cx")
     met = p.join(q, ["cy", "cx"]).withColumn("d", haversine_m(F.col("alat"), F.col("alon"), F.col("blat"), F.col("blon"))).filter(F.col("d") <= cap_m)
     best = met.groupBy("l").agg(F.min_by(F.struct("r", "d"), F.struct("d", "o")).alias("best"))
     return left.select(F.col(left_key).alias("l")).join(best, "l", "left").select(F.col("l").alias(left_key), F.col("best.r").alias(right_key), F.col("best.d").alias("distance_m"))

@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import pad
+
 #: Roles of stops; qualities of segments.
 STOP_ROLES = ["stop", "stop_entry_only", "stop_exit_only"]
 QUALITIES = ["measured", "measured-snapped", "estimated-gap", "unlocatable"]
 
 
+def cut(x: Column | str, width: int) -> Column:
+    """Report text of a fixed width: cut, then padded."""
+    return pad(F.substring(x, 1, width), width)
+
+
 def is_stop(role: Column) -> Column:
     """P1."""
     return role.isin(STOP_ROLES)

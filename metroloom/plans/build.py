@@ -35,7 +35,7 @@ def extract(lines: DataFrame, nodes: DataFrame, ways: DataFrame, relations: Data
     return Extracted(stops, segments, found)
 
 
-def extract_ordered(line_id: str, order: DataFrame, station_nodes: DataFrame, track_ways: DataFrame, coords: DataFrame, published_m: float) -> Extracted:
+def extract_ordered(line_id: str, order: DataFrame, station_nodes: DataFrame, track_ways: DataFrame, coords: DataFrame, published_m: float, assert_stops: int | None = None) -> Extracted:
     """A line given as names in order, without a relation (G14): names against tagged nodes both ways, then calibrated segments.
 
     order: idx, name; station_nodes: node_id, name, ord, lat, lon (of equal names the last counts);
@@ -48,7 +48,7 @@ def extract_ordered(line_id: str, order: DataFrame, station_nodes: DataFrame, tr
     segments = chains.measure_calibrated(stops, spark.createDataFrame([(line_id, published_m)], "line_id string, total_m double"))
     factors = segments.groupBy("line_id").agg(F.max("factor").alias("factor"))
     nameless = station_nodes.filter("name IS NULL").select(F.lit(line_id).alias("line_id"), "node_id", F.lit(None).cast("string").alias("display"), F.lit(None).cast("string").alias("name_source"))
-    return Extracted(stops, segments, checks.union([checks.station_order(diff, line_id), checks.calibration(factors), checks.stop_names(nameless)]))
+    return Extracted(stops, segments, checks.union([checks.station_order(diff, line_id, order, assert_stops), checks.calibration(factors), checks.stop_names(nameless)]))
 
 
 def stations(stops: DataFrame, forced: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:

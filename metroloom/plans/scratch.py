@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,10 +15,12 @@ _OWN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset and all runs on this machine."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="metroloom-"))
         atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.checks import asset_size, gate, union
+from ..operators.layout import svg_document
 
 
 def write_tables(folder: str, tables: dict[str, DataFrame], file_format: str = "parquet") -> None:
@@ -34,15 +35,38 @@ def as_document(tables: dict[str, DataFrame]) -> str:
     return json.dumps({name: [r.asDict(recursive=True) for r in df.collect()] for name, df in tables.items()}, separators=(",", ":"), ensure_ascii=False)
 
 
-def write_asset(path: Path, document: str, checks: DataFrame) -> tuple[int, int]:
-    """Writes an asset within its budgets; returns its size plain and packed."""
-    raw, packed = len(document.encode()), len(gzip.compress(document.encode()))
+def sizes(document: str) -> tuple[int, int]:
+    """Bytes of a document plain and packed."""
+    return len(document.encode()), len(gzip.compress(document.encode()))
+
+
+def write_asset(path: Path, document: str, checks: DataFrame, app: Path | None = None) -> tuple[int, int]:
+    """Writes an asset within its budgets, and a copy into the app's folder if there is an app (S12); returns its sizes."""
+    raw, packed = sizes(document)
     gate(union([checks, asset_size(checks.sparkSession, raw, packed)]))
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(document)
+    for place in [path, *([app / path.name] if app is not None and app.is_dir() else [])]:
+        place.parent.mkdir(parents=True, exist_ok=True)
+        whole = place.with_name(place.name + ".part")  # readers see the old file or the new one
+        whole.write_text(document)
+        whole.replace(place)
     return raw, packed
 
 
+def write_svg(path: Path, rows: DataFrame) -> None:
+    """The review drawing as a file."""
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(svg_document(rows))
+
+
+def palette_document(families: DataFrame, measures: dict[str, float], surfaces: dict[str, str], checks: DataFrame) -> str:
+    """The palette as one JSON document (S15), if every family has its colours.
+
+    families: family, label, line_ids, light, dark, dash; measures: what the search reached."""
+    gate(checks)
+    rows = {r["family"]: {k: v for k, v in r.asDict().items() if k != "family"} for r in families.orderBy("family").collect()}  # a row a family
+    return json.dumps({"surfaces": surfaces, "measures": measures, "families": rows}, ensure_ascii=False, indent=2)
+
+
 def positional(places: DataFrame) -> DataFrame:
     """Places as ``[name, lat, lon, kind, locality]`` lines, one a row (S13), for a text sink."""
     fields = [F.to_json(F.array(F.col("name"))), *[F.col(c).cast("string") for c in ("lat", "lon", "kind", "locality_index")]]

@@ -21,22 +21,22 @@ def run(spark, rows, groups=None):
 
 
 def test_two_operators_stay_apart(spark):
-    s, _ = run(spark, [stop(0, "M1", "metro", "Ghatkopar", 19.0858, 72.908), stop(1, "C", "suburban", "Ghatkopar", 19.0862, 72.9086)])
+    s, _ = run(spark, [stop(0, "M1", "metro", "Millbrook", 19.0858, 72.908), stop(1, "C", "suburban", "Millbrook", 19.0862, 72.9086)])
     assert len(s) == 2
 
 
 def test_near_stops_of_one_operator_merge(spark):
-    s, _ = run(spark, [stop(0, "H", "sub", "Bandra", 19.0544, 72.8402), stop(1, "W", "sub", "Bandra", 19.0546, 72.8404, "BA")])
-    assert len(s) == 1 and s[0]["line_ids"] == ["H", "W"] and s[0]["short"] == "BA" and s[0]["operators"] == ["sub"] and s[0]["spread_m"] > 0 and abs(s[0]["lat"] - 19.0545) < 1e-9
+    s, _ = run(spark, [stop(0, "H", "sub", "Harrow", 19.0544, 72.8402), stop(1, "W", "sub", "Harrow", 19.0546, 72.8404, "HW")])
+    assert len(s) == 1 and s[0]["line_ids"] == ["H", "W"] and s[0]["short"] == "HW" and s[0]["operators"] == ["sub"] and s[0]["spread_m"] > 0 and abs(s[0]["lat"] - 19.0545) < 1e-9
 
 
 def test_far_stops_stay_apart(spark):
-    s, _ = run(spark, [stop(0, "W", "sub", "Naigaon", 19.3521, 72.8449), stop(1, "M", "sub", "Naigaon", 19.00954, 72.84787)])
+    s, _ = run(spark, [stop(0, "W", "sub", "Easterby", 19.3521, 72.8449), stop(1, "M", "sub", "Easterby", 19.00954, 72.84787)])
     assert [r["station_id"] for r in s] == [0, 1]
 
 
 def test_force_merge_is_scoped(spark):
-    rows = [stop(0, "W", "sub", "Jogeshwari", 19.1367, 72.8493), stop(1, "H", "sub", "Jogeshwari", 19.1417, 72.8503), stop(2, "M", "metro", "Dadar", 19.0234, 72.839), stop(3, "W", "sub", "Dadar", 19.0189, 72.8435)]
+    rows = [stop(0, "W", "sub", "Larkhill", 19.1367, 72.8493), stop(1, "H", "sub", "Larkhill", 19.1417, 72.8503), stop(2, "M", "metro", "Kingsmere", 19.0234, 72.839), stop(3, "W", "sub", "Kingsmere", 19.0189, 72.8435)]
     assert len(run(spark, rows)[0]) == 4
     s, applied = run(spark, rows, [("jogeshwari", "sub", 700.0), ("dadar", "metro", 900.0)])
     assert len(s) == 3 and {r["norm"]: r["unioned"] for r in applied} == {"jogeshwari": 1, "dadar": 0}
@@ -84,3 +84,32 @@ def test_interchange_candidates(spark):
     got = {(r["a"], r["b"]): r["connects_disjoint_lines"] for r in cluster.propose_interchanges(s).collect()}
     assert got == {(0, 1): True, (0, 2): False, (1, 2): True}
     assert cluster.guard_spread(s.withColumn("spread_m", F.lit(5.0)), spark.createDataFrame([("a", 1.0), ("zz", 1.0)], "norm string, max_spread_m double")).filter("spread_m > max_spread_m").count() == 1
+
+
+def test_pairs_across_the_date_line_and_near_a_pole(spark):
+    rng = random.Random(5)
+    at = [(rng.uniform(-0.01, 0.01), (180 + rng.uniform(-0.01, 0.01) + 180) % 360 - 180) for _ in range(60)] + [(89.99 + rng.uniform(0, 0.009), rng.uniform(-180, 180)) for _ in range(40)] + [(66.0, 20.0), (66.0, 20.01)]
+    df = spark.createDataFrame([(i, a, o) for i, (a, o) in enumerate(at)], "id bigint, lat double, lon double")
+    want = {(i, j) for i in range(len(at)) for j in range(i + 1, len(at)) if hav(at[i], at[j]) <= 700}
+    got = [(r["a"], r["b"]) for r in radius.pairs_within(df, 700.0, "id").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    near = {r["l"]: r["r"] for r in radius.nearest_within(df.select(F.col("id").alias("l"), "lat", "lon"), df.select(F.col("id").alias("r"), "lat", "lon", (-F.col("id")).alias("o")), 700.0, "l", "r", "o").collect()}
+    assert near == {i: i for i in range(len(at))}
+
+
+def test_spread_of_long_and_round_stations(spark):
+    rng = random.Random(6)
+    rows = [(k, i, 19 + rng.uniform(-1, 1) * (0.02 if k % 2 else 0.0005), 72 + rng.uniform(-1, 1) * 0.02) for k in range(6) for i in range(k * 12 + 1)]
+    df = spark.createDataFrame(rows, "station_id bigint, ord bigint, lat double, lon double")
+    for r in cluster.spread(df).collect():
+        own = [x[2:] for x in rows if x[0] == r["station_id"]]
+        assert abs(r["spread_m"] - max(hav(a, b) for a in own for b in own)) < 1e-6
+
+
+def test_components_by_joins_and_by_one_task(spark):
+    rng = random.Random(7)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(380)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    one = {tuple(r) for r in components.components(df).collect()}
+    assert {tuple(r) for r in components.components(df, few=20).collect()} == one
+    assert all(c <= n for n, c in one) and all(dict(one)[a] == dict(one)[b] for a, b in edges)

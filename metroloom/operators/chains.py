@@ -47,14 +47,18 @@ def stitch(members: DataFrame, ways: DataFrame) -> DataFrame:
     kind = members.schema["line_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = None
+
         def rows() -> Iterator[tuple]:
+            nonlocal lines
             for b in batches:
+                lines = b.schema.field(0).type
                 yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
 
         for line, group in itertools.groupby(rows(), key=lambda r: r[0]):
             for k, chain in enumerate(join_ways(w for _, w in group)):
                 n = len(chain)
-                yield pa.RecordBatch.from_arrays([pa.array([line] * n), pa.array([k] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(chain, pa.int64())], ["line_id", "chain", "pos", "node_id"])
+                yield pa.RecordBatch.from_arrays([pa.array([line] * n, lines), pa.array([k] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(chain, pa.int64())], ["line_id", "chain", "pos", "node_id"])
 
     known = members.select("line_id", "pos", "way_id").join(ways.select("way_id", F.col("nodes").cast("array<bigint>").alias("nodes")), "way_id")
     return dealt(known, "line_id", order=("pos",)).select("line_id", "nodes").mapInArrow(run, f"line_id {kind}, chain int, pos int, node_id bigint")

@@ -142,7 +142,8 @@ def element_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements of all three kinds made of suppliers, customers and orders."""
     node = suppliers(spark, sf_dir).select(F.lit("node").alias("type"), "id", "lat", "lon", F.lit(None).cast("array<bigint>").alias("nodes"), F.lit(None).cast("array<struct<type:string,ref:bigint,role:string>>").alias("members"), F.create_map(F.lit("name"), F.concat(F.lit("S"), F.col("id").cast("string")), F.lit("zone"), F.col("nation").cast("string")).alias("tags"))
     n = F.col("id")
-    way = customers(spark, sf_dir).filter(n < 500).select(F.lit("way").alias("type"), "id", F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.array(n % 100 + 1, n * 7 % 100 + 1).alias("nodes"), F.lit(None).cast("array<struct<type:string,ref:bigint,role:string>>").alias("members"), F.create_map(F.lit("zone"), F.col("nation").cast("string")).alias("tags"))
+    many = suppliers(spark, sf_dir).agg(F.count("*").alias("m"))
+    way = customers(spark, sf_dir).crossJoin(F.broadcast(many)).select(F.lit("way").alias("type"), "id", F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.array(n % F.col("m") + 1, n * 7 % F.col("m") + 1).alias("nodes"), F.lit(None).cast("array<struct<type:string,ref:bigint,role:string>>").alias("members"), F.create_map(F.lit("zone"), F.col("nation").cast("string")).alias("tags"))
     rel = table(spark, sf_dir, "nation").select(F.lit("relation").alias("type"), F.col("n_nationkey").cast("bigint").alias("id"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.lit(None).cast("array<bigint>").alias("nodes"), F.array(F.struct(F.lit("way").alias("type"), (F.col("n_nationkey") + 1).cast("bigint").alias("ref"), F.lit("").alias("role")), F.struct(F.lit("node").alias("type"), (F.col("n_nationkey") * 3 + 1).cast("bigint").alias("ref"), F.lit("stop").alias("role"))).alias("members"), F.create_map(F.lit("name"), F.col("n_name")).alias("tags"))
     return node.unionByName(way).unionByName(rel)
 
@@ -156,8 +157,8 @@ def select_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH w AS (SELECT c_custkey AS id FROM customer WHERE c_custkey < 500 AND c_custkey IN (SELECT n_nationkey + 1 FROM nation WHERE n_regionkey = 1)),
-    n AS (SELECT s_suppkey AS id FROM supplier WHERE s_suppkey IN (SELECT n_nationkey * 3 + 1 FROM nation WHERE n_regionkey = 1 UNION ALL SELECT id % 100 + 1 FROM w UNION ALL SELECT id * 7 % 100 + 1 FROM w))
+    WITH m AS (SELECT count(*) AS m FROM supplier), w AS (SELECT c_custkey AS id FROM customer WHERE c_custkey IN (SELECT n_nationkey + 1 FROM nation WHERE n_regionkey = 1)),
+    n AS (SELECT s_suppkey AS id FROM supplier WHERE s_suppkey IN (SELECT n_nationkey * 3 + 1 FROM nation WHERE n_regionkey = 1 UNION ALL SELECT id % m + 1 FROM w, m UNION ALL SELECT id * 7 % m + 1 FROM w, m))
     SELECT 'relation' AS type, n_nationkey::BIGINT AS id FROM nation WHERE n_regionkey = 1 UNION ALL SELECT 'way', id FROM w UNION ALL SELECT 'node', id FROM n
 """)
 def descend_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +169,7 @@ def descend_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH {SUPPLIERS}, ends AS (SELECT c.c_custkey AS id, s.lat, s.lon FROM customer c JOIN sup s ON s.id IN (c.c_custkey % 100 + 1, c.c_custkey * 7 % 100 + 1) WHERE c.c_custkey < 500)
+    WITH {SUPPLIERS}, ends AS (SELECT c.c_custkey AS id, s.lat, s.lon FROM customer c JOIN (SELECT count(*) AS m FROM supplier) ON true JOIN sup s ON s.id IN (c.c_custkey % m + 1, c.c_custkey * 7 % m + 1))
     SELECT id, floor((min(lat) + max(lat)) / 2 * 1e6 + 0.5)::BIGINT AS lat_e6, floor((min(lon) + max(lon)) / 2 * 1e6 + 0.5)::BIGINT AS lon_e6 FROM ends GROUP BY id
 """)
 def way_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +179,7 @@ def way_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("id", half_up(F.col("center.lat") * 1e6).alias("lat_e6"), half_up(F.col("center.lon") * 1e6).alias("lon_e6"))
 
 
-@query("SELECT (SELECT count(*) FROM supplier) AS nodes, (SELECT count(*) FROM customer WHERE c_custkey < 500) AS ways, (SELECT count(*) FROM nation) AS relations")
+@query("SELECT (SELECT count(*) FROM supplier) AS nodes, (SELECT count(*) FROM customer) AS ways, (SELECT count(*) FROM nation) AS relations")
 def element_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A14."""
     return reports.element_counts(element_rows(spark, sf_dir))
@@ -311,11 +312,11 @@ def haversine_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radius.pairs_within(customers(spark, sf_dir), cluster.MERGE_RADIUS_M, "id", equal=("nation",)).select("a", "b", half_up(F.col("distance_m")).alias("distance_m"))
 
 
-@query(f"WITH {SUPPLIERS} SELECT x.id AS a, y.id AS b, {METRES.format(hav('x', 'y'))} AS distance_m FROM sup x JOIN sup y ON x.id < y.id WHERE {hav('x', 'y')} <= 800")
+@query(f"WITH {SUPPLIERS}, p AS (SELECT x.id AS a, y.id AS b, {METRES.format(hav('x', 'y'))} AS distance_m FROM sup x JOIN sup y ON x.id < y.id WHERE {hav('x', 'y')} <= 800) SELECT *, row_number() OVER (ORDER BY distance_m, a, b) - 1 AS place FROM p")
 def radius_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J9, O2."""
     near = radius.pairs_within(suppliers(spark, sf_dir), cluster.INTERCHANGE_RADIUS_M, "id").select("a", "b", half_up(F.col("distance_m")).alias("distance_m"))
-    return near.orderBy("distance_m", "a", "b")
+    return ranked(near, ["distance_m", "a", "b"], "place")
 
 
 @query(f"""
@@ -375,15 +376,16 @@ def force_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH {SUPPLIERS}, links AS (SELECT x.id AS a, y.id AS b FROM sup x JOIN sup y ON x.id < y.id AND {hav("x", "y")} <= 800)
-    SELECT s.id AS station_id, count(l.a) AS degree FROM sup s LEFT JOIN links l ON s.id IN (l.a, l.b) GROUP BY s.id
+    WITH RECURSIVE {SUPPLIERS}, links AS (SELECT x.id AS a, y.id AS b FROM sup x JOIN sup y ON x.id < y.id AND {hav("x", "y")} <= 800), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach(id, other) AS (SELECT id, id FROM sup UNION SELECT r.id, w.b FROM reach r JOIN both_ways w ON w.a = r.other), comp AS (SELECT id, min(other) AS component FROM reach GROUP BY id)
+    SELECT s.id AS station_id, any_value(c.component) AS component, count(l.a) AS degree FROM sup s JOIN comp c ON c.id = s.id LEFT JOIN links l ON s.id IN (l.a, l.b) GROUP BY s.id
 """)
 def connectivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Degrees over the walks between suppliers."""
+    """Parts and degrees over the walks between suppliers."""
     s = suppliers(spark, sf_dir).withColumnRenamed("id", "station_id")
     walks = radius.pairs_within(s, 800.0, "station_id").select(F.col("a").alias("a_id"), F.col("b").alias("b_id"))
     none = spark.createDataFrame([], "`from` bigint, `to` bigint")
-    return network.connectivity(s, none, walks).select("station_id", "degree")
+    return network.connectivity(s, none, walks)
 
 
 # -- fares ----------------------------------------------------------------------------------
@@ -525,11 +527,11 @@ def routable_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.routable(s, ops).select("station_id")
 
 
-@query("SELECT n_nationkey AS operator FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)")
+@query("SELECT n_nationkey AS operator FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)")
 def used_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P13."""
-    rich = table(spark, sf_dir, "supplier").filter("s_acctbal > 9000").select(F.col("s_nationkey").alias("operator"))
-    return network.used_only(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("operator")), rich, "operator")
+    owned = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("operator"))
+    return network.used_only(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("operator")), owned, "operator")
 
 
 @query("""
@@ -560,34 +562,44 @@ def edge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT c_custkey AS id, 'missing' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_orderkey, 'extra' FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer) AND o_orderkey % 10 = 0
+    SELECT c_custkey AS id, 'missing' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_orderkey, 'extra' FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)
 """)
 def reconcile_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J12, U4."""
+    """Against all order keys."""
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
     o = table(spark, sf_dir, "orders")
     missing = chains.reconcile(c, o.select(F.col("o_custkey").alias("id")), ["id"]).filter("side = 'missing'")
-    return missing.unionByName(chains.reconcile(c, o.filter("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("id")), ["id"]).filter("side = 'extra'"))
+    return missing.unionByName(chains.reconcile(c, o.select(F.col("o_orderkey").alias("id")), ["id"]).filter("side = 'extra'"))
 
 
 @query("""
-    SELECT 'operator-defined' AS rule, 'fatal' AS level, s_nationkey::VARCHAR AS subject FROM (SELECT DISTINCT s_nationkey FROM supplier) WHERE s_nationkey >= 20
-    UNION ALL SELECT 'operator-has-fares', 'fatal', s_nationkey::VARCHAR FROM (SELECT DISTINCT s_nationkey FROM supplier) WHERE s_nationkey < 20 AND s_nationkey % 4 <> 0 AND s_nationkey % 7 <> 0
-    UNION ALL SELECT 'interchange-resolves', 'fatal', 'S1 - S0' UNION ALL SELECT 'mode-known', 'fatal', n_nationkey::VARCHAR FROM nation WHERE n_nationkey % 4 = 3
-    UNION ALL SELECT 'isolated', 'fatal', s_suppkey::VARCHAR FROM supplier UNION ALL SELECT 'connected', 'fatal', 'network'
+    WITH st AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 11 = 3 THEN 'ghost' ELSE s_nationkey::VARCHAR END AS op, s_nationkey AS line, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier),
+    parts AS (SELECT count(DISTINCT line) AS n FROM st)
+    SELECT 'operator-defined' AS rule, 'fatal' AS level, 'ghost' AS subject WHERE EXISTS (SELECT 1 FROM st WHERE op = 'ghost')
+    UNION ALL SELECT DISTINCT 'operator-has-fares', 'fatal', op FROM st JOIN nation ON op = n_nationkey::VARCHAR WHERE n_nationkey % 4 <> 0 AND n_nationkey % 7 <> 0 AND n_nationkey % 6 <> 5
+    UNION ALL SELECT 'interchange-resolves', 'fatal', 'S1 - S-1' UNION ALL SELECT 'override-resolves', 'fatal', 'S1 - Nowhere' UNION ALL SELECT 'mode-known', 'fatal', n_nationkey::VARCHAR FROM nation WHERE n_nationkey % 4 = 3
+    UNION ALL SELECT 'line-styled', 'fatal', n_nationkey::VARCHAR FROM nation WHERE n_regionkey = 4
+    UNION ALL SELECT 'isolated', 'fatal', id::VARCHAR FROM st WHERE n = 1 UNION ALL SELECT 'connected', 'fatal', 'network' FROM parts WHERE n > 1
 """)
 def network_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Section 2.11 on a network with planted faults; J13."""
-    s = suppliers(spark, sf_dir).select(F.col("id").alias("station_id"), F.concat(F.lit("S"), F.col("id").cast("string")).alias("display"), F.col("nation").cast("string").alias("operator"))
+    """Section 2.11 on a network with planted faults, reach computed over its edges; J5, J13, G5."""
+    ghost = F.when(F.col("id") % 11 == 3, "ghost").otherwise(F.col("nation").cast("string"))
+    s = suppliers(spark, sf_dir).select(F.col("id").alias("station_id"), F.concat(F.lit("S"), F.col("id").cast("string")).alias("display"), ghost.alias("operator"))
     n = table(spark, sf_dir, "nation")
-    ops = n.filter("n_nationkey < 20").select(F.col("n_nationkey").cast("string").alias("id"), F.lit("operating").alias("status"))
-    lines = network.speeds(nation_lines(spark, sf_dir), *speed_tables(spark)).withColumn("styled", F.lit(True)).withColumn("line_id", F.col("line_id").cast("string"))
+    key = F.col("n_nationkey")
+    ops = n.select(key.cast("string").alias("id"), F.when(key % 6 == 5, "suspended").otherwise("operating").alias("status"))
+    own = n.filter("n_regionkey <> 4").groupBy("n_regionkey").agg(F.collect_list(key.cast("string")).alias("line_ids"))
+    fam = own.select(F.col("n_regionkey").alias("ord"), F.lit("#1").alias("light"), F.lit("#2").alias("dark"), F.lit("solid").alias("dash"), "line_ids")
+    named = nation_lines(spark, sf_dir).withColumn("line_id", F.col("line_id").cast("string"))
+    lines = network.line_styles(network.speeds(named, *speed_tables(spark)), fam)
     none = spark.createDataFrame([], "line_id string, segment int, fault string")
-    walks = network.interchanges(spark.createDataFrame([("S1", "x", "S0", "x", 10)], "a_name string, a_operator string, b_name string, b_operator string, distance_m int"), s)
-    slab = n.filter("n_nationkey % 4 = 0").select(F.col("n_nationkey").cast("string").alias("operator"))
-    pairs = n.filter("n_nationkey % 7 = 0").select(F.col("n_nationkey").cast("string").alias("operator"), F.lit("x").alias("a_name"), F.lit("y").alias("b_name"), F.lit(1).cast("long").alias("a_id"), F.lit(2).cast("long").alias("b_id"))
-    reach = s.select("station_id", F.col("station_id").alias("component"), F.lit(0).cast("long").alias("degree"))
-    return checks.network(lines, none, walks, pairs, s, ops, slab, reach).select("rule", "level", "subject")
+    walks = network.interchanges(spark.createDataFrame([("S1", "20", "S-1", "20", 10)], "a_name string, a_operator string, b_name string, b_operator string, distance_m int"), s.withColumn("operator", F.lit("20")))
+    slab = n.filter(key % 4 == 0).select(key.cast("string").alias("operator"))
+    pairs = n.filter(key % 7 == 0).select(key.cast("string").alias("operator"), F.lit("S1").alias("a_name"), F.lit("x").alias("a_operator"), F.lit("S1").alias("b_name"), F.lit("x").alias("b_operator"))
+    astray = spark.createDataFrame([("0", "S1", "x", "Nowhere", "x")], pairs.schema)
+    exact = network.resolve_pairs(pairs.union(astray), s.withColumn("operator", F.lit("x")))
+    reach = network.connectivity(s, edge_table(spark, sf_dir), spark.createDataFrame([], "a_id bigint, b_id bigint"))
+    return checks.network(lines, none, walks, exact, s, ops, slab, reach).select("rule", "level", "subject").distinct()
 
 
 @query("""
@@ -685,10 +697,11 @@ def svg_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), geo.svg_path(pts).alias("path"), geo.xml_escape(F.concat("n_name", F.lit(" & <x>"))).alias("label"))
 
 
-@query("SELECT p_size % 3 AS kind, p_name AS name, p_partkey AS ord FROM part")
+@query("SELECT p_size % 3 AS kind, p_name AS name, p_partkey AS ord, row_number() OVER (ORDER BY p_size % 3, p_name, p_partkey) - 1 AS place FROM part")
 def place_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By kind, then name in locale order."""
-    return table(spark, sf_dir, "part").select((F.col("p_size") % 3).alias("kind"), F.col("p_name").alias("name"), F.col("p_partkey").alias("ord")).orderBy("kind", F.collate("name", "UNICODE"), "ord")
+    rows = table(spark, sf_dir, "part").select((F.col("p_size") % 3).alias("kind"), F.col("p_name").alias("name"), F.col("p_partkey").alias("ord")).withColumn("sorted", F.collate("name", "UNICODE"))
+    return ranked(rows, ["kind", "sorted", "ord"], "place").drop("sorted")
 
 
 @query("""
@@ -707,41 +720,17 @@ def oklch_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.select("hue", "level", strongest("ll").alias("light_chroma"), strongest("ld").alias("dark_chroma"))
 
 
-@query("""
-    WITH fam AS (SELECT DISTINCT l_suppkey AS station, p_brand AS f FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey % 20 = 1 AND l_linenumber = 1)
-    SELECT DISTINCT x.f AS a, y.f AS b FROM fam x JOIN fam y ON x.station = y.station AND x.f < y.f
-""")
-def meeting_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands that share a supplier in first lines of some suppliers' orders."""
-    part = table(spark, sf_dir, "part")
-    fam = part.groupBy(F.col("p_brand").alias("family")).agg(F.collect_list("p_partkey").alias("line_ids"))
-    at = table(spark, sf_dir, "lineitem").filter("l_suppkey % 20 = 1 AND l_linenumber = 1").select(F.col("l_suppkey").alias("station_id"), F.col("l_partkey").alias("line_id"))
-    return palette.meeting_graph(at, fam, spark.createDataFrame([], "a_id bigint, b_id bigint"))
-
-
-# -- whole tables: the queries above of the same names hold to their SQL, which takes a part ---------
 @query("""
     WITH fam AS (SELECT DISTINCT l_suppkey AS station, p_brand AS f FROM lineitem JOIN part ON p_partkey = l_partkey)
     SELECT DISTINCT x.f AS a, y.f AS b FROM fam x JOIN fam y ON x.station = y.station AND x.f < y.f
 """)
-def meeting_graph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def meeting_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands that share a supplier, over all suppliers and lines."""
     fam = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("family")).agg(F.collect_list("p_partkey").alias("line_ids"))
     at = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("station_id"), F.col("l_partkey").alias("line_id"))
     return palette.meeting_graph(at, fam, spark.createDataFrame([], "a_id bigint, b_id bigint"))
 
 
-@query("""
-    SELECT c_custkey AS id, 'missing' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_orderkey, 'extra' FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)
-""")
-def reconcile_sets_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Against all order keys."""
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    o = table(spark, sf_dir, "orders")
-    missing = chains.reconcile(c, o.select(F.col("o_custkey").alias("id")), ["id"]).filter("side = 'missing'")
-    return missing.unionByName(chains.reconcile(c, o.select(F.col("o_orderkey").alias("id")), ["id"]).filter("side = 'extra'"))
-
-
 # -- results that depend on processing order: rows only -------------------------------------------
 @query()
 def dedupe_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:

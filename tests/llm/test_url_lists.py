@@ -32,5 +32,7 @@ def test_against_brute_force(spark):
                     break
         want.append((i, str(d), *best))
     assert got == sorted(want)
+    salted = sorted((r["page_id"], str(r["fetched"]), r["pattern"] or "", r["verdict"]) for r in url_lists.evaluate(c, e, part_rows=1).collect())
+    assert salted == got  # every pattern that two pairs ask for is dealt over parts
     assert {r["verdict"] for r in url_lists.evaluate(c, e.limit(0)).collect()} == {"allow"}
     assert url_lists.evaluate(c.limit(0), e).count() == 0

@@ -767,5 +767,5 @@ def colour_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def journeys_from_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fastest journeys over edges and walks from one station."""
-    source = table(spark, sf_dir, "supplier").agg(F.min("s_suppkey").alias("source"))
-    return journeys.fastest(edge_table(spark, sf_dir).filter("seconds IS NOT NULL").withColumn("line_id", F.col("line_id").cast("string")), walk_table(spark, sf_dir), source)
+    running = edge_table(spark, sf_dir).filter("seconds IS NOT NULL").withColumn("line_id", F.col("line_id").cast("string"))
+    return journeys.fastest(running, walk_table(spark, sf_dir), running.agg(F.min("from").alias("source")))

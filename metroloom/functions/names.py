@@ -65,7 +65,8 @@ def strip_disambiguators(name: Column, o: Overrides) -> Column:
 def normalise(name: Column, stop_words: list[str]) -> Column:
     """The matching key (F3): accents, case, signs, stop words and blanks removed. May be empty."""
     fro, to = _bases()
-    plain = F.lower(F.regexp_replace(F.translate(name, fro, to), r"[\x{300}-\x{36f}]", ""))
+    bare = F.lower(F.regexp_replace(F.translate(name, fro, to), r"[\x{300}-\x{36f}]", ""))
+    plain = F.when(name.rlike(r"[^\x00-\x7F]"), bare).otherwise(F.lower(name))  # ASCII has no accents to look up
     plain = F.regexp_replace(plain, "[^a-z0-9]", " ")
     if stop_words:
         plain = F.regexp_replace(plain, rf"\b(?:{'|'.join(map(re.escape, stop_words))})\b", " ")

@@ -134,3 +134,14 @@ def test_labels_one_by_one(spark):
     got = {r["ord"]: (r["x"], r["y"], r["anchor"]) for r in rows_of(spark, "label_place")}
     want = labels_one_by_one(rows, 10.0)
     assert got.keys() == want.keys() and all(math.dist(got[k][:2], want[k][:2]) < 1e-6 and got[k][2] == want[k][2] for k in got)
+
+
+def test_release_dates_of_odd_events(spark, tmp_path):
+    """Keys below 0, above 2**53 and null; years that have not four digits."""
+    keys = "0 1 -1 -4 -5 NULL 10000001 4503599627370497 9007199254740995 9223372036854775807 -9223372036854775807".split()
+    times = ["NULL", *(f"TIMESTAMP '{t}'" for t in ("2024-01-01 23:59:59.9", "0001-01-01 00:00:00", "1582-10-10 12:00:00", "9999-12-31 23:59:59", "10000-01-01 00:00:00", "12345-06-07 08:09:10", "0044-03-15 (BC) 00:00:00"))]
+    c = duckdb.connect()
+    c.execute("CREATE TABLE events AS SELECT event_id::BIGINT AS event_id, ts FROM (VALUES " + ", ".join(f"({k}, {t})" for k in keys for t in times) + ") v(event_id, ts)")
+    c.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    got = queries.QUERIES["release_dates"](spark, str(tmp_path)).select("id", "version", "day", "metric").collect()
+    assert sorted(repr(tuple(r)) for r in got) == sorted(map(repr, c.execute(queries.ORACLES["release_dates"]).fetchall()))
